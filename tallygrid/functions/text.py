@@ -16,12 +16,26 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _words(words: list[str]) -> str:
+    return ", ".join(f"'{w}'" for w in words)
+
+
+def _trimmed_sql(name: str) -> str:
+    # Named columns are built from expression text: one call to the JVM per predicate.
+    return f"trim(coalesce(cast(`{name}` as string), ''))"
+
+
 def _trimmed(c: Column | str) -> Column:
+    if isinstance(c, str):
+        return F.expr(_trimmed_sql(c))
     return F.trim(F.coalesce(_col(c).cast("string"), F.lit("")))
 
 
 def safe_text(c: Column | str, fallback: str = "") -> Column:
     """Trimmed text; spellings of a missing value become the fallback."""
+    if isinstance(c, str):
+        t = _trimmed_sql(c)
+        return F.expr(f"if(lower({t}) in ({_words(MISSING_SPELLINGS)}), '{fallback}', {t})")
     text = _trimmed(c)
     return F.when(F.lower(text).isin(MISSING_SPELLINGS), F.lit(fallback)).otherwise(text)
 
@@ -56,16 +70,16 @@ def meaningful(c: Column | str) -> Column:
 
 
 def has_text(c: Column | str) -> Column:
+    if isinstance(c, str):
+        return F.expr(f"{_trimmed_sql(c)} <> ''")
     return _trimmed(c) != ""
 
 
 def valid(c: Column | str) -> Column:
     """True when the value is present, is no null word and does not say 'sem valor'."""
     if isinstance(c, str):
-        # Same predicate as text: one call to the JVM instead of two dozen.
-        low = f"lower(trim(coalesce(cast(`{c}` as string), '')))"
-        words = ", ".join(f"'{w}'" for w in NULL_WORDS)
-        return F.expr(f"{low} not in ({words}) and not contains({low}, 'sem valor')")
+        low = f"lower({_trimmed_sql(c)})"
+        return F.expr(f"{low} not in ({_words(NULL_WORDS)}) and not contains({low}, 'sem valor')")
     low = F.lower(_trimmed(c))
     return ~low.isin(NULL_WORDS) & ~F.contains(low, F.lit("sem valor"))
 
@@ -85,6 +99,8 @@ def compact_code(c: Column | str) -> Column:
 
 def discrete(c: Column | str) -> Column:
     """Key text that is never null: blanks become SEM_VALOR."""
+    if isinstance(c, str):
+        return F.expr(f"coalesce(nullif(trim(cast(`{c}` as string)), ''), 'SEM_VALOR')")
     return F.coalesce(F.nullif(F.trim(_col(c).cast("string")), F.lit("")), F.lit("SEM_VALOR"))
 
 

@@ -149,7 +149,7 @@ def distinct_text(df: DataFrame, keys: Sequence[str], source: str, out: str, lim
     De-duplicated before ranking, and ranked before collecting, so at most `limit` values
     per key ever sit in one row.
     """
-    values = df.filter(F.trim(F.coalesce(F.col(source), F.lit(""))) != "").groupBy(*keys, source).agg()
+    values = df.filter(F.trim(F.coalesce(F.col(source), F.lit(""))) != "").select(*keys, source).distinct()
     w = Window.partitionBy(*keys).orderBy(source)
     kept = values.withColumn("__n", F.row_number().over(w)).filter(F.col("__n") <= limit)
     return kept.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list(source)), separator).alias(out))
@@ -187,4 +187,5 @@ def pair_correlations(pairs: DataFrame, scope: Sequence[str], min_rows: int) ->
 def safe_corr(a: str, b: str) -> Column:
     """Correlation, null when either side is constant."""
     varies = (F.min(a) < F.max(a)) & (F.min(b) < F.max(b))
-    return F.when(varies, F.corr(a, b))
+    # corr() itself divides by zero on constant input, which ANSI mode rejects
+    return F.when(varies, ratio(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)))
