@@ -32,28 +32,28 @@ def humanize(c: Column | str) -> Column:
     """Underscores to spaces; shouting longer than three characters to title case."""
     text = F.trim(F.replace(safe_text(c, "Sem valor"), F.lit("_"), F.lit(" ")))
     shouting = (text == F.upper(text)) & (F.upper(text) != F.lower(text)) & (F.length(text) > 3)
-    return F.when(shouting, F.initcap(text)).otherwise(text)
+    return F.when(shouting, title_case(text)).otherwise(text)
+
+
+def title_case(text: Column) -> Column:
+    """Capital after every non-letter, not only after spaces ('1-URGENT' -> '1-Urgent')."""
+    spaced = F.regexp_replace(text, r"([^\p{L}\s])", "$1\u0001 ")
+    return F.replace(F.initcap(spaced), F.lit("\u0001 "), F.lit(""))
 
 
 def label_category(value: Column | str, role: str) -> Column:
     """The published label of a code, 'Ano N', 'Codigo N' or readable text."""
     text = safe_text(value, "SEM_VALOR")
-    plain = F.regexp_replace(strip_accents(text), r"^([-+]*\d+)\.0$", "$1")
-    worded = F.replace(F.trim(F.regexp_replace(F.upper(plain), r"[\s_]", " ")), F.lit(" "), F.lit("_"))
-    is_code = plain.rlike(r"^[-+]*\d+$") | (F.length(plain) <= 1)
-    key = F.when(is_code, plain).otherwise(worded)
-    number = F.regexp_replace(text, r"\.0$", "")
-    is_number = text.rlike(r"^[-+]?\d+(\.0)?$")
-
-    label = F.when(F.lower(text).isin(CATEGORY_NULL_WORDS), F.lit("Sem valor"))
+    choices = [F.when(F.lower(text).isin(CATEGORY_NULL_WORDS), F.lit("Sem valor"))]
     if CATEGORY_LABELS.get(role):
-        known = _lookup(key, CATEGORY_LABELS[role])
-        label = label.when(known.isNotNull(), known)
-    if role == "ano":
-        label = label.when(is_number, F.concat(F.lit("Ano "), number))
-    if role.startswith("perfil_"):
-        label = label.when(is_number, F.concat(F.lit("Codigo "), number))
-    return label.otherwise(humanize(text))
+        plain = F.regexp_replace(strip_accents(text), r"^([-+]*\d+)\.0$", "$1")
+        worded = F.regexp_replace(F.trim(F.regexp_replace(F.upper(plain), r"[\s_]", " ")), " ", "_")
+        choices.append(_lookup(F.when(F.length(plain) <= 1, plain).otherwise(worded), CATEGORY_LABELS[role]))
+    prefix = "Ano " if role == "ano" else ("Codigo " if role.startswith("perfil_") else None)
+    if prefix:
+        number = F.regexp_replace(text, r"\.0$", "")
+        choices.append(F.when(text.rlike(r"^[-+]?\d+(\.0)?$"), F.concat(F.lit(prefix), number)))
+    return F.coalesce(*choices, humanize(text))
 
 
 def label_if_present(value: Column | str, role: str) -> Column:

@@ -46,19 +46,23 @@ def by_column(mapping: Mapping[str, object], default: object) -> Column:
 
 
 def _labelled(names: Sequence[str], roles: Mapping[str, str]) -> Column:
+    # One branch per role, not per column.
     label = label_category("valor", "")
-    for name in names:
-        if roles[name] in CATEGORY_LABELS or roles[name].startswith("perfil_"):
-            label = F.when(F.col("coluna") == name, label_category("valor", roles[name])).otherwise(label)
+    for role in sorted({roles[n] for n in names}):
+        if role in CATEGORY_LABELS or role.startswith("perfil_"):
+            own = [n for n in names if roles[n] == role]
+            label = F.when(F.col("coluna").isin(own), label_category("valor", role)).otherwise(label)
     return label
 
 
 def _useful_labels(counts: DataFrame, names: Sequence[str], roles: Mapping[str, str]) -> DataFrame:
     """Counts per readable label, without null words and bare codes."""
-    rows = counts.filter(F.col("valor").isNotNull()).withColumn("rotulo", _labelled(names, roles))
+    rows = counts.filter(F.col("valor").isNotNull()).groupBy("coluna", _labelled(names, roles).alias("rotulo")).agg(
+        F.sum("n").alias("n")
+    )
     low = F.lower("rotulo")
     unusable = low.isin([*CATEGORY_NULL_WORDS, "sem valor"]) | low.rlike(r"^c[oó]digo [-+]*\d*\.?\d+$")
-    return rows.filter(~unusable).groupBy("coluna", "rotulo").agg(F.sum("n").alias("n"))
+    return rows.filter(~unusable)
 
 
 def useful_discrete(counts: DataFrame, names: Sequence[str], roles: Mapping[str, str] | None = None, low: int = 2, high: int = 500) -> DataFrame:

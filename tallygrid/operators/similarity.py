@@ -7,11 +7,12 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def name_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Matching-block ratio of two field names."""
     return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])
