@@ -9,6 +9,7 @@ from ..operators import behaviour as be
 from ..operators import clustering as cl
 from ..operators.hash_clusters import stable_bucket
 from ..plans import serving as sv
+from ..session import materialize
 from .base import DIMS, Data, cte, ok, query, r6
 
 _K = "ano, uf, cd_municipio, zona, secao, nm_municipio, cargo, turno"
@@ -50,8 +51,8 @@ def k4(d):
 
 @query("K5_kmeans_elbow")
 def k5(d):
-    rows = cl.token_features(sectors(d).limit(5000), cl.voter_columns(), 256).select("features").cache()
-    _, best, costs = cl.kmeans_elbow(rows, 2, 5, max_iter=8)
+    rows = materialize(cl.token_features(sectors(d), cl.voter_columns(), 256).select("features"), "features")
+    _, best, costs = cl.kmeans_elbow(rows, 2, 4, max_iter=8)
     return d.spark.createDataFrame([(k, float(c), best) for k, c in costs], "k int, inercia double, k_escolhido int")
 
 
