@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, quality_rules
+from . import line_dedup, ngram_join, quality_rules
 from .common import table
 
 
@@ -20,7 +20,11 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op6_line_dedup)}
+def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.join(table(spark, folder, "documents"), width=4, percent=85).select("doc_id", "n_shingles", "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op6_line_dedup, op9_ngram_jaccard_join)}
 _WHITE_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 _OP6 = f"""
@@ -33,4 +37,21 @@ select doc_id, count(*) as n_lines, count(f.key) as n_dropped,
 from k left join f using (key) group by r, doc_id
 """
 
-ORACLE: dict[str, str] = {"op6_line_dedup": _OP6}
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+_OP9 = f"""
+with recursive w as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), {_AZ}), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as ws from documents),
+s as (
+  select distinct doc_id, case when len(ws) < 4 then array_to_string(ws, ' ') else array_to_string(ws[i:i + 3], ' ') end as g
+  from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) as i from w where len(ws) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as common from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * common >= 85 * (x.n + y.n - common)),
+e as (select a, b from l union all select b, a from l),
+r as (select doc_id as node, doc_id as seen from documents union select r.node, e.b from r join e on e.a = r.seen)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, c.component_id
+from documents d left join n using (doc_id) join (select node as doc_id, min(seen) as component_id from r group by node) c using (doc_id)
+"""
+
+ORACLE: dict[str, str] = {"op6_line_dedup": _OP6, "op9_ngram_jaccard_join": _OP9}
