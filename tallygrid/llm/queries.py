@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, ngram_join, quality_rules
+from . import decontaminate, line_dedup, ngram_join, quality_rules
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_upper", "n_top_word")
 
 
+def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     done = line_dedup.dedup_lines(table(spark, folder, "documents"))
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
@@ -24,7 +28,7 @@ def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.join(table(spark, folder, "documents"), width=4, percent=85).select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op6_line_dedup, op9_ngram_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_benchmark_decontamination, op6_line_dedup, op9_ngram_jaccard_join)}
 _WHITE_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 _OP6 = f"""
@@ -37,6 +41,17 @@ select doc_id, count(*) as n_lines, count(f.key) as n_dropped,
 from k left join f using (key) group by r, doc_id
 """
 
+_OP3 = r"""
+with w as (
+  select 'd' as kind, doc_id as id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') as ws from documents
+  union all select 'i', item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') from benchmark),
+s as (select distinct kind, id, array_to_string(ws[i:i + 4], ' ') as g from (select *, unnest(range(1, len(ws) - 3)) as i from w where len(ws) >= 5)),
+n as (select id, count(*) as n from s where kind = 'i' group by id),
+p as (select d.id as doc_id, i.id as item_id, count(*) as n_shared from s d join s i on d.g = i.g where d.kind = 'd' and i.kind = 'i' group by 1, 2)
+select doc_id, item_id, n as n_item_shingles, n_shared, round(n_shared / n, 6) as containment
+from p join n on n.id = item_id where 100 * n_shared >= 80 * n
+"""
+
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 _OP9 = f"""
@@ -54,4 +69,4 @@ select d.doc_id, coalesce(n.n, 0) as n_shingles, c.component_id
 from documents d left join n using (doc_id) join (select node as doc_id, min(seen) as component_id from r group by node) c using (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op6_line_dedup": _OP6, "op9_ngram_jaccard_join": _OP9}
+ORACLE: dict[str, str] = {"op3_benchmark_decontamination": _OP3, "op6_line_dedup": _OP6, "op9_ngram_jaccard_join": _OP9}
