@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, ngram_join, quality_rules
+from . import decontaminate, line_dedup, ngram_join, quality_rules, sentence_pieces
 from .common import table
 
 
@@ -28,7 +28,16 @@ def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.join(table(spark, folder, "documents"), width=4, percent=85).select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_benchmark_decontamination, op6_line_dedup, op9_ngram_jaccard_join)}
+#: The model that the queries use; a parameter of the operator.
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    coded = sentence_pieces.encode(table(spark, folder, "documents").select("doc_id", "text"), sentence_pieces.read_model(MODEL))
+    return coded.select("doc_id", "n_tokens", "ids", "parity", "round_trip")
+
+
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_benchmark_decontamination, op6_line_dedup, op9_ngram_jaccard_join, op10_sentencepiece)}
 _WHITE_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 _OP6 = f"""
