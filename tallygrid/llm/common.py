@@ -35,3 +35,8 @@ def crc_mod(doc_id: str, n: int) -> Column:
 def spread(spark: SparkSession) -> int:
     """How many groups give every task of a shuffle a few of them."""
     return 4 * max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), spark.sparkContext.defaultParallelism)
+
+
+def small(keys: DataFrame, row_bytes: int = 128, limit: int = 64 << 20) -> DataFrame:
+    """A written table of narrow rows, marked for broadcast if its rows fit into `limit` bytes; else as it is, to be shuffled."""
+    return F.broadcast(keys) if keys.count() * row_bytes <= limit else keys

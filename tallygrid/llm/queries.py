@@ -5,8 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, ngram_join, quality_rules, sentence_pieces
-from .common import table
+from . import (
+    decontaminate, html_paths, language_id, line_dedup, ngram_join, quality_neighbours, quality_rules, secrets, sentence_pieces, url_rules,
+)
+from .common import crc_mod, table
+
+
+# The given url rules.
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_paths.extract(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
 
 
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -18,12 +28,32 @@ def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = crc_mod("doc_id", 5) == 0
+    scored = quality_neighbours.split_and_score(table(spark, folder, "documents"), table(spark, folder, "labels"), held_out)
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op5_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return url_rules.judge(pages, table(spark, folder, "labels"), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "mined")
+
+
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     done = line_dedup.dedup_lines(table(spark, folder, "documents"))
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
     return done.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
 
 
+def op7_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.split_and_predict(table(spark, folder, "documents"), crc_mod("doc_id", 4) == 2)
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.join(table(spark, folder, "documents"), width=4, percent=85).select("doc_id", "n_shingles", "component_id")
 
@@ -37,7 +67,13 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "ids", "parity", "round_trip")
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_benchmark_decontamination, op6_line_dedup, op9_ngram_jaccard_join, op10_sentencepiece)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_html_extraction, op2_quality_rules, op3_benchmark_decontamination, op4_quality_classifier, op5_url_filters,
+        op6_line_dedup, op7_secret_scans, op8_language_id, op9_ngram_jaccard_join, op10_sentencepiece,
+    )
+}
 _WHITE_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 _OP6 = f"""
