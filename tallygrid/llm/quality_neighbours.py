@@ -1,6 +1,7 @@
 """Quality classifier: nearest neighbours among labelled latent-semantic vectors.
 
-1. Texts become counts of hashed byte trigrams (case and symbols kept), damped to 1 + log.
+1. Texts become counts of hashed byte trigrams (case and symbols kept) and of words that
+   repeat the word before, damped to log(1 + n).
 2. Document frequencies are counted over all documents.
 3. Up to `max_labelled` labelled documents (the bound of everything that is collected or
    broadcast; taken by a hash of the id, so evenly) are the sample that the model is fitted
@@ -18,6 +19,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +28,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-WIDTH = 1 << 12
+HASHED = 1 << 12
+WIDTH = HASHED + 1  # the last bin counts words that repeat the word before
+REPEAT_WEIGHT = 3.0
 _U = np.uint32
 
 
@@ -42,10 +47,14 @@ def trigram_bins(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def damped_counts(texts: list[bytes]) -> np.ndarray:
-    """A row of 1 + log counts for each text."""
+    """A row of log(1 + count) for each text."""
     bins, owner = trigram_bins(texts)
     counts = np.bincount(owner * WIDTH + bins, minlength=len(texts) * WIDTH).reshape(len(texts), WIDTH).astype(np.float32)
+    for i, text in enumerate(texts):
+        words = text.split()
+        counts[i, HASHED] = sum(map(eq, words, islice(words, 1, None)))
     np.log1p(counts, out=counts)
+    counts[:, HASHED] *= REPEAT_WEIGHT
     return counts
 
 
@@ -119,7 +128,7 @@ def latent_axes(rows: np.ndarray, rank: int, rounds: int = 4) -> np.ndarray:
     return np.ascontiguousarray((base @ turn.T)[:, :rank].astype(np.float32))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 8192, rank: int = 64, neighbours: int = 25, power: float = 8.0) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 8192, rank: int = 64, neighbours: int = 15, power: float = 30.0) -> Model:
     """Fit on labelled documents: labels (doc_id, quality) of which at most `max_labelled` are used."""
     seen, total = document_frequencies(docs)
     idf = (np.log((1 + total) / (1 + seen)) + 0.1).astype(np.float32)
