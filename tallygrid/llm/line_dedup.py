@@ -128,7 +128,7 @@ def index_lines(docs: DataFrame, keys_per_shard: int = 200_000) -> tuple[DataFra
     counted = counted.withColumn("shard", F.pmod(F.xxhash64("h1", "h2"), F.lit(shards)))
     index = counted.where("n_docs > 1").groupBy("shard").applyInPandas(_build, _INDEX)
     load = counted.groupBy("shard").agg(F.sum("n_docs").alias("load"))
-    return materialize(index, "line-index"), load.withColumn("shards", F.lit(shards))
+    return materialize(index, "line-index"), materialize(load.withColumn("shards", F.lit(shards)), "line-load")
 
 
 def frequent(docs: DataFrame, index: DataFrame, load: DataFrame, min_docs: int) -> DataFrame:
