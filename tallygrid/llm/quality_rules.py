@@ -133,7 +133,7 @@ def binomial_tail(k: int, n: int, p: float) -> float:
 
 @dataclass
 class Cutoffs:
-    """Certified cut-offs by stratum; a share above its cut-off rejects."""
+    """Certified cut-offs by stratum; a share that reaches its cut-off rejects."""
 
     strata: list[str] = field(default_factory=list)
     rows: list[tuple[str, str, float, int, int]] = field(default_factory=list)  # stratum, rule, cut-off, good rejected, good tested
@@ -171,7 +171,7 @@ def fit(
         return Cutoffs(strata)
     spark = known.sparkSession
     steps_of = F.broadcast(spark.createDataFrame([(s, r, v) for (s, r), v in ladders.items()], "stratum string, rule string, ladder array<double>"))
-    passed = F.size(F.filter("ladder", lambda c: c >= F.col("value")))  # how many lenient steps the value survives
+    passed = F.size(F.filter("ladder", lambda c: c > F.col("value")))  # how many lenient steps the value survives
     long = known.unpivot(["stratum", "good", "selects"], list(RULES), "rule", "value").join(steps_of, ["stratum", "rule"])
     tally = long.groupBy("stratum", "rule", "good", "selects", passed.alias("step")).count().collect()
     counts = {(t["stratum"], t["rule"], t["good"], t["selects"], t["step"]): t["count"] for t in tally}
@@ -203,7 +203,7 @@ def judge(counted: DataFrame, cutoffs: Cutoffs) -> DataFrame:
         for s, r, value, *_ in cutoffs.rows:
             if r == rule:
                 cut = F.when(stratum == s, F.lit(value)).otherwise(cut)
-        rejects = rejects | F.coalesce(share(rule) > cut, F.lit(False))
+        rejects = rejects | F.coalesce(share(rule) >= cut, F.lit(False))
     return counted.withColumn("kept", ~rejects)
 
 
