@@ -6,8 +6,8 @@
    hidden parts are left out while reading.
 2. A page scores each of its paths: the share of its text under the path, less text in links,
    more for deeper paths and telling names.
-3. Spark adds the pages' votes (scores relative to the page's best) per host and path, after
-   partial aggregation, and takes the best path of each host.
+3. A page votes for its best path with that score.  Spark adds the votes up per host and path,
+   after partial aggregation, and takes the first path of each host.
 4. Every page is read again and gives the text under its host's path; a page without that
    path gives that of its own best.
 
@@ -141,7 +141,7 @@ def scores(page: str | None) -> dict[str, float]:
     for path, size in under.items():
         last = path.rsplit("/", 1)[1]
         telling = bool(set(_NAME.findall(last)) & TELLING) and not last.startswith("body")
-        out[path] = size / total * (1 + 0.05 * path.count("/")) * (1.2 if telling else 1.0)
+        out[path] = size / total * (1 + 0.1 * path.count("/")) * (1.2 if telling else 1.0)
     return {p: s for p, s in out.items() if s > 0}
 
 
@@ -171,8 +171,8 @@ def _votes(pages: pa.Array) -> pa.Array:
     out = []
     for page in pages.to_pylist():
         found = scores(page)
-        top = max(found.values(), default=1.0)
-        out.append([{"path": p, "vote": s / top} for p, s in found.items() if s >= 0.5 * top])
+        path = best(found)
+        out.append([] if path is None else [{"path": path, "vote": found[path]}])
     return pa.array(out, pa.list_(pa.struct([("path", pa.string()), ("vote", pa.float64())])))
 
 
