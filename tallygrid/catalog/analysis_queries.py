@@ -16,8 +16,10 @@ PC = "ano, uf, cd_municipio, cargo, turno"
 @query("A1_electorate_profiles", f"""
   select *, {frac('votos', 't')} as share_no_perfil, {frac('abstencao_estimado', 'eleitorado')} as taxa_abstencao_perfil
   from (select *, sum(votos) over (partition by {AC}, {D4}) as t from (
-    select {AC}, {', '.join(f"coalesce({x}, '') as {x}" for x in DIMS[:4])}, partido as entidade, sum(votos) as votos, max(eleitorado) as eleitorado,
-      sum(comparecimento_estimado) as comparecimento_estimado, sum(abstencao_estimado) as abstencao_estimado from base group by all))""".replace("select *, cast", "select * exclude (t), cast", 1))
+    select {AC}, {', '.join(f"coalesce({x}, '') as {x}" for x in DIMS[:4])}, entidade, sum(votos) as votos, sum(eleitorado) as eleitorado,
+      sum(comparecimento_estimado) as comparecimento_estimado, sum(abstencao_estimado) as abstencao_estimado
+    from (select {CONTEST}, {D4}, partido as entidade, sum(votos) as votos from base group by all) v
+    left join (select {SECTION}, eleitorado, comparecimento_estimado, abstencao_estimado from e_section) e using ({SECTION}) group by all))""".replace("select *, cast", "select * exclude (t), cast", 1))
 def a1(d):
     return an.electorate_profiles(d.base)
 

@@ -325,12 +325,17 @@ def l18(d):
 
 _M = ("votos", "eleitorado", "comparecimento_estimado", "abstencao_estimado", "brancos", "nulos", "validos_estimados")
 _MC = "ano, uf, cd_municipio, nm_municipio, cargo, turno"
+_B = tuple(m for m in _M if m not in TURN)
+# Head counts once per section contest, from the electorate.
+cte("contest_heads", f"""
+  select * from (select {CONTEST}, max(nm_municipio) as nm_municipio from results where votos > 0 group by {CONTEST})
+  left join (select {SECTION}, eleitorado, comparecimento_estimado, abstencao_estimado from e_section) using ({SECTION})""")
 cte("municipal", f"""
-  with e as (select {_MC}, partido as entidade, {dsum(_M)} from base group by {_MC}, partido),
+  with e as (select {_MC}, partido as entidade, {dsum(_B)} from base group by {_MC}, partido),
   k as (select *, row_number() over (partition by {_MC} order by votos desc, entidade) as rk from e),
   p as (select {_MC}, max(case when rk = 1 then entidade end) as lider, max(case when rk = 1 then votos end) as votos_lider,
         max(case when rk = 2 then entidade end) as segundo, max(case when rk = 2 then votos end) as votos_segundo from k group by {_MC}),
-  m as (select {_MC}, {dsum(_M)} from e group by {_MC}),
+  m as (select * from (select {_MC}, {dsum(_B)} from e group by {_MC}) join (select {_MC}, {dsum(TURN)} from contest_heads group by {_MC}) using ({_MC})),
   q as (select *, comparecimento_estimado / nullif(eleitorado, 0) as pct_comparecimento, abstencao_estimado / nullif(eleitorado, 0) as pct_abstencao,
         (coalesce(votos_lider, 0) - coalesce(votos_segundo, 0)) / nullif(votos, 0) as margem_lider, cast(ano as integer) as ano_num from m left join p using ({_MC}))
   select *, 1 - least(greatest(margem_lider, 0), 1) as competitividade from q""")
@@ -357,7 +362,7 @@ for _name, _cols in {"nacional": "ano, cargo, turno", "uf": "ano, uf, cargo, tur
     def _register_full(name=_name, cols=_cols):
         @query(f"L20_timeline_{name}", f"""
   select *, {frac('comparecimento_estimado', 'eleitorado')} as pct_comparecimento, {frac('abstencao_estimado', 'eleitorado')} as pct_abstencao
-  from (select {cols}, {dsum(_M)} from base group by {cols})""")
+  from (select {cols}, {dsum(_B)} from base group by {cols}) join (select {cols}, {dsum(TURN)} from contest_heads group by {cols}) using ({cols})""")
         def run(d):
             return levels.timelines_full(d.base)[f"timeline_{name}"]
 

@@ -22,8 +22,8 @@ def model(d: Data, office: str | None = None):
 def model_sql(where="true"):
     return f"""
   select *, votos / nullif(sum(votos) over (partition by ano, {UNIT}), 0) as share, cast(ano as integer) as ano_num from (
-    select ano, {UNIT}, partido as entidade, sum(votos) as votos, max(eleitorado) as eleitorado, sum(comparecimento_estimado) as comparecimento_estimado,
-      sum(abstencao_estimado) as abstencao_estimado from base where {where} group by all)"""
+    select ano, {UNIT}, partido as entidade, sum(votos) as votos, max(eleitorado) as eleitorado, max(comparecimento_estimado) as comparecimento_estimado,
+      max(abstencao_estimado) as abstencao_estimado from base where {where} group by all)"""
 
 
 cte("model", model_sql())

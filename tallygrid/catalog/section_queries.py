@@ -21,8 +21,8 @@ def q1(d):
 
 _RANKED = f"""
   with s as (select {CONTEST}, nm_municipio, partido as entidade, sum(votos) as votos, max(eleitorado) as eleitorado,
-                    sum(comparecimento_estimado) as comparecimento_estimado,
-                    sum(abstencao_estimado) as abstencao_estimado, sum(brancos) as brancos, sum(nulos) as nulos
+                    max(comparecimento_estimado) as comparecimento_estimado,
+                    max(abstencao_estimado) as abstencao_estimado, sum(brancos) as brancos, sum(nulos) as nulos
              from base group by all),
   k as (select *, votos / nullif(sum(votos) over (partition by {CONTEST}), 0) as share,
                row_number() over (partition by {CONTEST} order by votos desc, entidade) as rk from s)"""
@@ -88,9 +88,10 @@ def q4b(d):
   select *, {frac('abstencao_estimado', 'eleitorado')} as taxa_abstencao,
          {frac('comparecimento_estimado', 'eleitorado')} as taxa_comparecimento,
          {frac('brancos + nulos', 'votos')} as taxa_brancos_nulos
-  from (select {CONTEST}, nm_municipio, max(eleitorado) as eleitorado,
-               sum(comparecimento_estimado) as comparecimento_estimado, sum(abstencao_estimado) as abstencao_estimado,
-               sum(brancos) as brancos, sum(nulos) as nulos, sum(votos) as votos from base group by all)""")
+  from (select r.*, e.eleitorado, e.comparecimento_estimado, e.abstencao_estimado
+        from (select {CONTEST}, max(nm_municipio) as nm_municipio, cast(sum(brancos) as double) as brancos, cast(sum(nulos) as double) as nulos,
+                     cast(sum(votos) as double) as votos from results where votos > 0 group by {CONTEST}) r
+        left join e_section e using ({SECTION}))""")
 def q5(d):
     return op.section_abstention(d.base)
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import bands, narrative
 from ..functions.numbers import number, ratio
 from ..functions.text import has_text, meaningful, profile_combo, safe_text, valid
-from ..model import ELECTORAL, Spec
+from ..model import ELECTORAL, TURNOUT, Spec
 from .core import by_level, previous, share_of_total, share_within, sums, top1, top_ranked, unpivot
 
 
@@ -27,10 +27,10 @@ def electorate_profiles(base: DataFrame, entity: str = "partido", dims: Sequence
     """Votes of every entity inside every full profile, with its share there."""
     dims = list(dims or spec.dim_columns[:4])
     scope = [spec.period, *spec.contest, *dims]
-    rows = base.withColumns({d: safe_text(d) for d in dims}).groupBy(*scope, F.col(entity).alias("entidade")).agg(
-        F.sum("votos").alias("votos"), F.max("eleitorado").alias("eleitorado"),
-        *sums(["comparecimento_estimado", "abstencao_estimado"]),
-    )
+    rows = base.withColumns({d: safe_text(d) for d in dims})
+    unit = list(dict.fromkeys([*spec.contest_keys, *dims]))  # an entity's rows in a section repeat its head counts
+    once = rows.groupBy(*unit, F.col(entity).alias("entidade")).agg(F.sum("votos").alias("votos"), *[F.max(m).alias(m) for m in TURNOUT])
+    rows = once.groupBy(*scope, "entidade").agg(*sums(["votos", *TURNOUT]))
     return share_within(rows, scope, "votos", "share_no_perfil").withColumn(
         "taxa_abstencao_perfil", ratio("abstencao_estimado", "eleitorado")
     )

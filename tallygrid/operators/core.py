@@ -14,6 +14,8 @@ Ranking keeps only `n` rows per group on the map side before any shuffle when `n
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,11 +40,18 @@ def share_within(df: DataFrame, scope: Sequence[str], weight: str, out: str, tot
     return df.withColumn(out, ratio(weight, whole))
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on keys of which equal nulls match; the keys of the left side stay."""
+    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    on = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])
+    return left.join(renamed, on, how).drop(*[f"__r_{k}" for k in keys])
+
+
 def with_totals(df: DataFrame, scope: Sequence[str], **aggregates: Column) -> DataFrame:
     """Group aggregates joined back by key; one-row aggregates become scalar subqueries."""
     named = [expr.alias(name) for name, expr in aggregates.items()]
     if scope:
-        return df.join(df.groupBy(*scope).agg(*named), list(scope))
+        return join_null_safe(df, df.groupBy(*scope).agg(*named), list(scope))
     return df.withColumns({name: df.agg(expr.alias(name)).scalar() for name, expr in aggregates.items()})
 
 
@@ -68,8 +77,11 @@ def top_ranked(
 
 
 def top1(df: DataFrame, scope: Sequence[str], weight: str, ties: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """The heaviest row per scope as an aggregate: partial results shrink before the shuffle."""
-    lead = F.min(F.struct((-F.col(weight)).alias("w"), *[F.col(t) for t in ties], *[F.col(k) for k in keep]))
+    """The heaviest row per scope as an aggregate: partial results shrink before the shuffle.
+
+    A null weight comes last, as in `top_ranked`.
+    """
+    lead = F.min(F.struct(F.col(weight).isNull().alias("unknown"), (-F.col(weight)).alias("w"), *[F.col(t) for t in ties], *[F.col(k) for k in keep]))
     best = df.groupBy(*scope).agg(lead.alias("__best"))
     return best.select(
         *scope,

@@ -16,10 +16,10 @@ from ..functions.numbers import number, ratio
 from ..functions.text import any_profile_valid, discrete, profile_combo, valid
 from ..model import BALLOTS, ELECTORAL, TURNOUT, Spec
 from .core import (
-    by_level, previous, roll_up, share_of_total, share_within, sums, top_ranked, unpivot,
+    by_level, join_null_safe, previous, roll_up, share_of_total, share_within, sums, top_ranked, unpivot,
     with_totals,
 )
-from .sections import section_electorate
+from .sections import contest_heads, section_electorate
 
 SUMMARY_SUMS = ("qtd_municipios", "qtd_secoes", *TURNOUT, *BALLOTS)
 
@@ -283,7 +283,9 @@ def consolidate_municipal(base: DataFrame, entity: str = "partido", spec: Spec =
     """Leader, runner-up, margin and competitiveness per contest, with change over periods."""
     keys = [*spec.place_keys, spec.place_name, *spec.contest]
     metrics = [m for m in (*BALLOTS[:1], *TURNOUT, *BALLOTS[1:]) if m in base.columns]
-    by_entity = base.groupBy(*keys, F.col(entity).alias("entidade")).agg(*sums(metrics))
+    ballots = [m for m in metrics if m not in TURNOUT]
+    by_entity = base.groupBy(*keys, F.col(entity).alias("entidade")).agg(*sums(ballots))
+    heads = contest_heads(base, spec).groupBy(*keys).agg(*sums([m for m in metrics if m in TURNOUT]))
     lead = top_ranked(by_entity.select(*keys, "entidade", "votos"), keys, "votos", ["entidade"], "rk", 2)
 
     def place(rank: int, source: str) -> Column:
@@ -293,7 +295,8 @@ def consolidate_municipal(base: DataFrame, entity: str = "partido", spec: Spec =
         place(1, "entidade").alias("lider"), place(1, "votos").alias("votos_lider"),
         place(2, "entidade").alias("segundo"), place(2, "votos").alias("votos_segundo"),
     )
-    out = by_entity.groupBy(*keys).agg(*sums(metrics)).join(podium, keys, "left")
+    out = join_null_safe(by_entity.groupBy(*keys).agg(*sums(ballots)), podium, keys, "left")
+    out = join_null_safe(out, heads, keys, "left").select(*keys, *metrics, "lider", "votos_lider", "segundo", "votos_segundo")
     gap = F.coalesce(F.col("votos_lider"), F.lit(0.0)) - F.coalesce(F.col("votos_segundo"), F.lit(0.0))
     out = out.withColumns(
         {
@@ -315,8 +318,13 @@ def timelines_full(base: DataFrame, entity: str = "partido", spec: Spec = ELECTO
     """National, state, municipal and entity series by office and round."""
     metrics = [m for m in (*BALLOTS[:1], *TURNOUT, *BALLOTS[1:]) if m in base.columns]
 
+    turnout = [m for m in metrics if m in TURNOUT]
+    ballots = [m for m in metrics if m not in TURNOUT]
+
     def series(scope: Sequence[str]) -> DataFrame:
-        out = base.groupBy(spec.period, *scope, *spec.contest).agg(*sums(metrics))
+        keys = [spec.period, *scope, *spec.contest]
+        out = base.groupBy(*keys).agg(*sums(ballots))
+        out = join_null_safe(out, contest_heads(base, spec).groupBy(*keys).agg(*sums(turnout)), keys, "left")
         return out.withColumns(
             {
                 "pct_comparecimento": ratio("comparecimento_estimado", "eleitorado"),

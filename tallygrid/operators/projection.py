@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import bands
 from ..functions.numbers import ratio
 from ..functions.text import meaningful, safe_text
-from ..model import ELECTORAL, Spec
+from ..model import ELECTORAL, TURNOUT, Spec
 from ..session import materialize
 from .analyses import clip01, dominant_values
 from .core import average_rank, by_level, period_pairs, previous, safe_corr, share_of_total, share_within, sums, top_ranked
@@ -66,8 +66,7 @@ def model_base(base: DataFrame, entity: str = "partido", office: str | None = No
     keys = [spec.period, *unit_columns(base, spec)]
     named = safe_text(entity, "GERAL")
     out = rows.groupBy(*keys, named.alias("entidade")).agg(
-        F.sum("votos").alias("votos"), F.max("eleitorado").alias("eleitorado"),
-        *sums(["comparecimento_estimado", "abstencao_estimado"]),
+        F.sum("votos").alias("votos"), *[F.max(m).alias(m) for m in TURNOUT]
     )
     return share_within(out, keys, "votos", "share").withColumn("ano_num", F.col(spec.period).try_cast("int"))
 

@@ -12,7 +12,7 @@ from ..functions import narrative
 from ..functions.numbers import number, ratio
 from ..functions.text import any_profile_valid, discrete, meaningful, profile_combo, safe_text, valid
 from ..model import BALLOTS, ELECTORAL, TURNOUT, Spec
-from .core import order_by_weight, share_within, sums, top1
+from .core import join_null_safe, order_by_weight, share_within, sums, top1
 
 PLACE_DETAILS = ("local_votacao", "bairro")
 
@@ -98,6 +98,7 @@ def predominant_profile(electorate: DataFrame, keys: Sequence[str], spec: Spec =
 def section_winner_profile(results: DataFrame, electorate: DataFrame, spec: Spec = ELECTORAL, on: Sequence[str] | None = None, rule: str = "max_or_dim_total") -> DataFrame:
     """Winners with the section's head count and predominant profile."""
     keys = list(on or spec.section_keys)
+    electorate = electorate.withColumns({k: discrete(k) for k in keys})  # filled as the winners' keys are
     heads = section_electorate(electorate, spec, rule, keys).select(
         *keys, F.col("eleitorado").alias("eleitorado_secao")
     )
@@ -107,13 +108,19 @@ def section_winner_profile(results: DataFrame, electorate: DataFrame, spec: Spec
     return section_winners(results, spec).join(heads, keys, "left").join(profile, keys, "left")
 
 
+def contest_heads(base: DataFrame, spec: Spec = ELECTORAL) -> DataFrame:
+    """Head counts once per section contest; the wide base repeats them on every entity's row."""
+    keys = _present(base, [*spec.contest_keys, spec.place_name, *PLACE_DETAILS])
+    return base.groupBy(*keys).agg(*[F.max(m).alias(m) for m in _present(base, TURNOUT)])
+
+
 def section_entity_results(base: DataFrame, entity: str = "partido", spec: Spec = ELECTORAL) -> DataFrame:
     """Votes, share, rank and abstention of every entity in every section contest."""
     keys = _present(base, [*spec.contest_keys, spec.place_name, *PLACE_DETAILS])
     rows = base.groupBy(*keys, F.col(entity).alias("entidade")).agg(
         F.sum("votos").alias("votos"),
-        F.max("eleitorado").alias("eleitorado"),
-        *sums(_present(base, ["comparecimento_estimado", "abstencao_estimado", "brancos", "nulos"])),
+        *[F.max(m).alias(m) for m in _present(base, TURNOUT)],
+        *sums(_present(base, ["brancos", "nulos"])),
     )
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by_weight("votos", ["entidade"])))
     return share_within(
@@ -158,7 +165,7 @@ def section_winner_explained(base: DataFrame, electorate: DataFrame, entity: str
     item = F.concat(F.col("dim"), F.lit(": "), F.col("valor"), F.lit(" ("), F.col("e").cast("long").cast("string"), F.lit(" eleitores)"))
     by_dim = [F.max(F.when(F.col("dim") == n, item)) for n in dims.values()]
     profile = best.groupBy(*keys).agg(F.concat_ws("; ", *by_dim).alias("perfil_predominante_secao"))
-    out = section_results_ranked(base, entity, spec).join(profile, keys, "left")
+    out = join_null_safe(section_results_ranked(base, entity, spec), profile, keys, "left")
     reasons = F.concat_ws(
         "; ",
         F.when(F.col("share_vencedor").isNotNull(), F.format_string("teve %.2f%% dos votos validos/registrados no recorte", F.col("share_vencedor") * 100)),
@@ -173,8 +180,8 @@ def section_abstention(base: DataFrame, spec: Spec = ELECTORAL) -> DataFrame:
     """Turnout, abstention and blank+null rates of every section contest."""
     keys = _present(base, [*spec.contest_keys, spec.place_name])
     out = base.groupBy(*keys).agg(
-        F.max("eleitorado").alias("eleitorado"),
-        *sums(["comparecimento_estimado", "abstencao_estimado", "brancos", "nulos", "votos"]),
+        *[F.max(m).alias(m) for m in TURNOUT],
+        *sums(["brancos", "nulos", "votos"]),
     )
     return out.withColumns(
         {
@@ -193,7 +200,7 @@ def section_profile_cache(electorate: DataFrame, spec: Spec = ELECTORAL, on: Seq
     rank = F.row_number().over(
         Window.partitionBy(*keys).orderBy(*order_by_weight("eleitorado_perfil", ["perfil_combinado", *spec.dims]))
     )
-    return cells.join(heads, keys, "left").withColumn("rn_perfil_secao", rank.cast("long"))
+    return join_null_safe(cells, heads, keys, "left").withColumn("rn_perfil_secao", rank.cast("long"))
 
 
 def section_results_cache(results: DataFrame, spec: Spec = ELECTORAL) -> DataFrame:
@@ -235,7 +242,7 @@ def section_base(results: DataFrame, electorate: DataFrame, spec: Spec = ELECTOR
     )
     heads = section_electorate(electorate, spec, rule, keys).withColumnRenamed(spec.place_name, "__name")
     profile = predominant_profile(electorate, keys, spec).select(*keys, *spec.dims)
-    joined = votes.join(heads, keys, "left").join(profile, keys, "left")
+    joined = join_null_safe(join_null_safe(votes, heads, keys, "left"), profile, keys, "left")
     return joined.withColumn(
         spec.place_name, F.coalesce(F.nullif(F.col(spec.place_name), F.lit("")), F.col("__name"))
     ).withColumn("entidade", F.col(spec.party)).drop("__name")
