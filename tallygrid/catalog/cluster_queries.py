@@ -10,7 +10,7 @@ from ..operators import clustering as cl
 from ..operators.hash_clusters import stable_bucket
 from ..plans import serving as sv
 from ..session import materialize
-from .base import DIMS, Data, cte, ok, query, r6
+from .base import CONTEST, DIM_LIST, DIMS, Data, cte, ok, query, r6
 
 _K = "ano, uf, cd_municipio, zona, secao, nm_municipio, cargo, turno"
 _CODE = "cd_municipio || '|' || zona || '|' || secao"
@@ -49,32 +49,50 @@ def k4(d):
     return rows.groupBy("cargo", "turno", F.size("tokens").alias("qtd_tokens")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("K5_kmeans_elbow")
+@query("K5_kmeans_elbow", "select unnest([2, 3, 4]) as k, true as custo_nao_cresce, true as escolhido_no_intervalo from (select count(*) from sector_base)")
 def k5(d):
     rows = materialize(cl.token_features(sectors(d), cl.voter_columns(), 256).select("features"), "features")
     _, best, costs = cl.kmeans_elbow(rows, 2, 4, max_iter=8)
-    return d.spark.createDataFrame([(k, float(c), best) for k, c in costs], "k int, inercia double, k_escolhido int")
+    # Costs have no exact expectation; that more clusters never cost more (within a local optimum's slack) has.
+    least = [min(c for _, c in costs[: i + 1]) for i in range(len(costs))]
+    rows = [(k, c <= 1.05 * low, 2 <= best <= 4) for (k, c), low in zip(costs, least)]
+    return d.spark.createDataFrame(rows, "k int, custo_nao_cresce boolean, escolhido_no_intervalo boolean")
 
 
-@query("K6_kmeans_sample_train", f"select count(*) as linhas, count(*) as atribuidas from sector_base where " + " or ".join(ok(x) for x in DIMS))
+_IN_RANGE = "true as no_intervalo"
+
+
+def assigned(out: DataFrame, *sums: str) -> DataFrame:
+    """What every fit must satisfy: each row in a cluster below the chosen k, nothing lost."""
+    inside = F.min((F.col("cluster") >= 0) & (F.col("cluster") < F.col("k_escolhido"))).alias("no_intervalo")
+    return out.agg(F.count(F.lit(1)).alias("linhas"), F.count("cluster").alias("atribuidas"), inside, *[F.sum(c).alias(c) for c in sums])
+
+
+@query("K6_kmeans_sample_train", f"select count(*) as linhas, count(*) as atribuidas, {_IN_RANGE}, cast(sum(votos_total_setor) as double) as votos_total_setor from sector_base where " + " or ".join(ok(x) for x in DIMS))
 def k6(d):
     out = cl.cluster_sectors(sectors(d), True, 2, 3, train_limit=1000)
-    return out.agg(F.count(F.lit(1)).alias("linhas"), F.count("cluster").alias("atribuidas"))
+    return assigned(out, "votos_total_setor")
+
+
+_SOME = " or ".join(ok(x) for x in DIMS)
+_LED = f"(select {CONTEST}, {DIM_LIST}, max(v) as v from (select {CONTEST}, {DIM_LIST}, partido, sum(votos) as v from base group by all) where {_SOME} group by all)"
 
 
-@query("K7_cluster_profiles")
+@query("K7_cluster_profiles", f"select count(*) as linhas, count(*) as atribuidas, {_IN_RANGE}, cast(sum(v) as double) as votos_entidade_dominante from {_LED}")
 def k7(d):
-    return cl.cluster_profiles(d.base, True, high=3).groupBy("cluster", "k_escolhido").agg(F.count(F.lit(1)).alias("n"), F.sum("votos_entidade_dominante").alias("votos"))
+    return assigned(cl.cluster_profiles(d.base, True, high=3), "votos_entidade_dominante")
 
 
-@query("K7_cluster_profiles_voters_only")
+@query("K7_cluster_profiles_voters_only", f"select count(*) as linhas, count(*) as atribuidas, {_IN_RANGE} from {_LED}")
 def k7v(d):
-    return cl.cluster_profiles(d.base, False, high=3).groupBy("cluster", "k_escolhido").agg(F.count(F.lit(1)).alias("n"))
+    return assigned(cl.cluster_profiles(d.base, False, high=3))
 
 
-@query("K8_cluster_behaviour")
+@query("K8_cluster_behaviour", f"""
+  select count(*) as linhas, count(*) as atribuidas, {_IN_RANGE}, cast(sum(v) as double) as votos
+  from (select ano, cargo, turno, uf, cd_municipio, nm_municipio, zona, secao, {DIM_LIST}, sum(votos) as v from panel where {_SOME} group by all)""")
 def k8(d):
-    return cl.cluster_behaviour(be.behaviour_panel(d.base), high=3).groupBy("cluster", "k_escolhido").agg(F.count(F.lit(1)).alias("n"), F.sum("votos").alias("votos"))
+    return assigned(cl.cluster_behaviour(be.behaviour_panel(d.base), high=3), "votos")
 
 
 @query("K10_cap_categories", "select case when candidato_vencedor_setor in (select candidato_vencedor_setor from sector_base group by 1 order by count(*) desc, candidato_vencedor_setor limit 20) then candidato_vencedor_setor else '' end as v, count(*) as n from sector_base group by 1")

@@ -253,7 +253,7 @@ def i26(d):
     return tables.reservoir_sample(d.table("orders").select("o_orderkey", "o_orderstatus"), ["o_orderkey"], 0.1, 10, 5000)
 
 
-@query("I26_head_sample")
+@query("I26_head_sample", "select * from orders order by o_orderkey, o_custkey limit 100")
 def i26h(d):
     return tables.head_sample(d.table("orders"), 100)
 

@@ -155,15 +155,17 @@ def previous(df: DataFrame, keys: Sequence[str], order: str, columns: dict[str,
     return df.withColumns({out: F.lag(source).over(w) for source, out in columns.items()})
 
 
-def distinct_text(df: DataFrame, keys: Sequence[str], source: str, out: str, limit: int, separator: str = " | ") -> DataFrame:
-    """The first `limit` distinct values per key in text order, joined.
+def distinct_text(df: DataFrame, keys: Sequence[str], source: str, out: str, limit: int | None = None, separator: str = " | ") -> DataFrame:
+    """The distinct values per key in text order, joined; only the first `limit` if given.
 
-    De-duplicated before ranking, and ranked before collecting, so at most `limit` values
-    per key ever sit in one row.
+    De-duplicated before collecting; with a limit also ranked, so that at most `limit`
+    values per key ever sit in one row.
     """
     values = df.filter(F.trim(F.coalesce(F.col(source), F.lit(""))) != "").select(*keys, source).distinct()
-    w = Window.partitionBy(*keys).orderBy(source)
-    kept = values.withColumn("__n", F.row_number().over(w)).filter(F.col("__n") <= limit)
+    kept = values
+    if limit is not None:
+        w = Window.partitionBy(*keys).orderBy(source)
+        kept = values.withColumn("__n", F.row_number().over(w)).filter(F.col("__n") <= limit)
     return kept.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list(source)), separator).alias(out))
 
 

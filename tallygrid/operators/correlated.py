@@ -107,7 +107,7 @@ def electorate_sector(annotated: DataFrame, spec: Spec = ELECTORAL) -> DataFrame
     profile = best.groupBy(*SECTOR_KEYS).agg(F.concat_ws("; ", *items).alias("perfil_predominante_setor"))
     out = sector.join(profile, SECTOR_KEYS, "left")
     for source, name in (("arquivo_origem", "arquivos_eleitorado"), ("subtitulo_arquivo", "subtitulos_eleitorado")):
-        out = out.join(distinct_text(rows, SECTOR_KEYS, source, name, 20), SECTOR_KEYS, "left")
+        out = out.join(distinct_text(rows, SECTOR_KEYS, source, name), SECTOR_KEYS, "left")
     return out.withColumn("perfil_predominante_setor", F.coalesce("perfil_predominante_setor", F.lit("")))
 
 
@@ -134,7 +134,7 @@ def candidate_catalogue(annotated: DataFrame, spec: Spec = ELECTORAL) -> DataFra
         "dominio_documento": "dominios_candidato", "assunto_documento": "assuntos_candidato",
     }
     for source, name in texts.items():
-        out = out.join(distinct_text(rows, keys, source, name, 20), keys, "left")
+        out = out.join(distinct_text(rows, keys, source, name), keys, "left")
     return out
 
 
@@ -264,8 +264,8 @@ def file_inventory(gold: DataFrame, spec: Spec = ELECTORAL) -> DataFrame:
         F.countDistinct(F.nullif(F.col(spec.place), F.lit(""))).alias("municipios"),
         F.count(F.lit(1)).alias("linhas_gold"),
     )
-    years = distinct_text(rows.withColumn("__t", F.col("__y").cast("string")), [source], "__t", "anos_detectados_conteudo", 201, ", ")
-    offices = distinct_text(rows, [source], spec.contest[0], "cargos", 30, ", ")
+    years = distinct_text(rows.withColumn("__t", F.col("__y").cast("string")), [source], "__t", "anos_detectados_conteudo", separator=", ")
+    offices = distinct_text(rows, [source], spec.contest[0], "cargos", separator=", ")
     named = years_in(source)
     out = out.join(years, source, "left").join(offices, source, "left")
     return out.select(

@@ -196,10 +196,13 @@ def semantic_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     return out.withColumns({"score_numerico": F.when(numeric, score), "score_categorico": F.when(category, weight)}).drop("__most_numbers", "__most_rows")
 
 
-def analytic_columns(profile: DataFrame, max_numeric: int = 40, max_categories: int = 120) -> tuple[list[str], list[str]]:
+def analytic_columns(profile: DataFrame, max_numeric: int | None = None, max_categories: int | None = None) -> tuple[list[str], list[str]]:
     """Numeric and categorical column names, best first (collects one row per column)."""
-    numeric = profile.filter("score_numerico is not null").orderBy(F.desc("score_numerico"), "coluna").limit(max_numeric)
-    category = profile.filter("score_categorico is not null").filter(F.col("qtd_unicos") <= max_categories).orderBy(F.desc("score_categorico"), "coluna")
+    numeric = profile.filter("score_numerico is not null").orderBy(F.desc("score_numerico"), "coluna")
+    if max_numeric is not None:
+        numeric = numeric.limit(max_numeric)
+    few = F.lit(True) if max_categories is None else F.col("qtd_unicos") <= max_categories
+    category = profile.filter("score_categorico is not null").filter(few).orderBy(F.desc("score_categorico"), "coluna")
     return [r.coluna for r in numeric.collect()], [r.coluna for r in category.collect()]
 
 

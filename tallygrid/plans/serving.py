@@ -72,7 +72,7 @@ def with_winner_priority(df: DataFrame) -> DataFrame:
     return df.withColumn("__first", F.lit(0))
 
 
-def places(municipal: DataFrame, uf: str, n: int = 8000) -> DataFrame:
+def places(municipal: DataFrame, uf: str, n: int | None = None) -> DataFrame:
     rows = municipal.filter(valid("nm_municipio") & (F.col("uf") == uf))
     pairs = rows.select(F.concat_ws("|", "cd_municipio", "nm_municipio").alias("value"), F.col("nm_municipio").alias("label"))
     return head(pairs.distinct(), [F.col("label")], n)
@@ -170,7 +170,8 @@ def metrics_by_year(table: DataFrame, **where) -> DataFrame:
 
 
 def table_preview(table: DataFrame, n: int = 100) -> DataFrame:
-    return table.limit(n)
+    """The first rows in the order of all columns."""
+    return table.orderBy(*[f"`{c}`" for c in table.columns]).limit(n)
 
 
 def latest_period(table: DataFrame, column: str = "ano") -> DataFrame:
@@ -241,7 +242,7 @@ def kpis(table: DataFrame, totals: Sequence[str], distinct: Sequence[str]) -> Da
     return table.agg(*sums(totals), *[F.countDistinct(F.nullif(F.col(c), F.lit(""))).alias(f"qtd_{c}") for c in distinct])
 
 
-def state_metrics(timeline_uf: DataFrame, n: int = 80) -> DataFrame:
+def state_metrics(timeline_uf: DataFrame, n: int | None = None) -> DataFrame:
     names = [c for c in ("eleitorado", "comparecimento_estimado", "abstencao_estimado", "votos") if c in timeline_uf.columns]
     return head(timeline_uf.groupBy("uf").agg(*sums(names)), [down(names[0])], n)
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +25,7 @@ def local_session(app: str = "tallygrid", cores: int | str = "*", **conf: str) -
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.checkpoint.dir", _local_folder())
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
@@ -30,15 +34,24 @@ def local_session(app: str = "tallygrid", cores: int | str = "*", **conf: str) -
     return spark
 
 
+@cache
+def _local_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="tallygrid-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for derived files.
 
-    Clusters name a shared folder in `spark.checkpoint.dir`; a machine-local folder is
-    used only where that setting is missing, which is the single-machine case.
+    Clusters name a shared folder in `spark.checkpoint.dir`, and it is an error if they don't.
+    On a single machine (a local master) a temporary folder, removed at exit, takes its place.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = os.path.join(tempfile.gettempdir(), "tallygrid-scratch")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = _local_folder()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -50,3 +63,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def clear_scratch(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete the files behind written scratch tables, once nothing reads them any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+    for folder in {f.rsplit("/", 1)[0] for t in tables for f in t.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        if root.removeprefix("file:").lstrip("/") in folder:  # never anything but scratch
+            path.getFileSystem(conf).delete(path, True)

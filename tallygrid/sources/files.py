@@ -119,20 +119,32 @@ def read_json_records(spark: SparkSession, path: str, shape: str = "lines", sche
 
 
 def quarantine_bad_records(spark: SparkSession, path: str, schema: T.StructType | None = None) -> tuple[DataFrame, DataFrame]:
-    """(records, rejected lines with file and reason)."""
+    """(records, rejected lines with file, reason and the whole line)."""
     schema = schema or infer_schema(spark, path)
     parsed = parse_lines(spark, path, schema)
     good = _normalized(parsed.filter(~F.col("bad")).select(*[F.col("r").getField(f.name).alias(f.name) for f in schema.fields]))
     reason = F.when(F.col("too_long"), "linha_longa").otherwise("json_invalido")
-    bad = parsed.filter("bad").select("arquivo", reason.alias("motivo"), F.substring("value", 1, 200).alias("inicio"))
+    bad = parsed.filter("bad").select("arquivo", reason.alias("motivo"), F.col("value").alias("linha"))
     return good, bad
 
 
 def read_parquet_tolerant(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet below a folder, leaving unreadable files out."""
+    """Parquet below a folder, leaving unreadable files out; `unreadable_parquet` lists those."""
     return spark.read.option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true").parquet(path)
 
 
+def unreadable_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """(arquivo, motivo) of the files below a folder that lack Parquet's marks at either end.
+
+    The files are listed and read by Spark as binary; a truncated or foreign file is found by its ends.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    mark = F.lit(b"PAR1")
+    starts, ends = F.substring("content", 1, 4) == mark, F.substring("content", -4, 4) == mark
+    reason = F.when(F.col("length") < 12, "curto").when(~starts, "sem_inicio").when(~ends, "sem_fim")
+    return found.select(F.col("path").alias("arquivo"), reason.alias("motivo")).where("motivo is not null")
+
+
 def flatten_record(df: DataFrame, depth: int = 2, separator: str = ".") -> DataFrame:
     """Nested fields as dotted columns to a depth; anything deeper as compact JSON text."""
     columns: list[Column] = []

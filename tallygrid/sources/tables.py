@@ -14,10 +14,13 @@ from ..operators.core import sums
 
 
 def partitioned_sink(df: DataFrame, path: str, by: Sequence[str] = ("uf",), mode: str = "overwrite") -> None:
-    """Parquet by partition.  Rows are gathered per partition value and spread by a hash of the
-    row, so a large state is written by many tasks and a small one by few files."""
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns[:8]]), F.lit(8))
-    df.repartition(*by, spread).write.mode(mode).partitionBy(*by).option("compression", "snappy").parquet(path)
+    """Parquet by partition.
+
+    Rows are rebalanced by the partition columns: Spark splits a large value and joins small
+    ones by measured bytes (the advisory partition size), so files are of like size whatever
+    the skew.
+    """
+    df.hint("rebalance", *by).write.mode(mode).partitionBy(*by).option("compression", "snappy").parquet(path)
 
 
 def scan_gold(spark: SparkSession, path: str) -> DataFrame:
@@ -89,19 +92,20 @@ def sample_order(df: DataFrame, keys: Sequence[str], seed: int):
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
 
 
-def reservoir_sample(df: DataFrame, keys: Sequence[str], fraction: float = 1.0, low: int = 0, high: int = 10000, seed: int = 42) -> DataFrame:
-    """A seeded sample between two sizes, the same whatever the partitioning.
+def reservoir_sample(df: DataFrame, keys: Sequence[str], fraction: float = 1.0, low: int = 0, high: int | None = None, seed: int = 42) -> DataFrame:
+    """A seeded sample, between two sizes if given, the same whatever the partitioning.
 
     Rows are ordered by a keyed digest; the size is computed in the plan.  The digest order
     with a limit is a per-task top-k.
     """
     total = df.count()
-    size = min(high, max(low, round(total * fraction)), total)
+    size = min(max(low, round(total * fraction)), total, total if high is None else high)
     return df.orderBy(sample_order(df, keys, seed), *keys).limit(size)
 
 
 def head_sample(df: DataFrame, n: int) -> DataFrame:
-    return df.limit(n)
+    """The first rows in the order of all columns, so that a rerun gives the same."""
+    return df.orderBy(*df.columns).limit(n)
 
 
 def analytic_projection(df: DataFrame, profile: DataFrame) -> DataFrame:
