@@ -9,9 +9,10 @@ smallest at least `k - allowed` are in every document that contains it.  With k
 the document: long documents are never reduced to a sketch of their own, in which a short
 item would vanish.  The pairs that reach the bound are verified on the shingles' words.
 
-Only the items' sketches and the documents' shingle hashes meet in a join; copies of one
-document are searched once.  Documents meet candidates by a digest of their text.  Both joins
-are left to size-checked planning (a broadcast of a small side, else a split sort-merge join).
+Only the items' sketches and the documents' shingle hashes meet in a join, left to size-checked
+planning (a broadcast of a small side, else a split sort-merge join).  Documents meet
+candidates by a digest of their text, which is broadcast up to a counted size and shuffled
+beyond it; copies of one document are verified once.
 
 All of it is DataFrame functions.  Words are runs of letters and digits, lower-cased.  Null
 and short texts (under five words) have no shingles: such a document contains nothing, such
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .common import small
 
 WIDTH = 5
 _WORD_BREAK = "[^\\p{L}\\p{N}]+"
@@ -79,7 +81,7 @@ def sketch_items(items: DataFrame, percent: int, margin: int) -> DataFrame:
 def candidates(docs: DataFrame, items: DataFrame, percent: int, margin: int) -> DataFrame:
     """(text_key, item_key): pairs whose sketch matches reach the bound."""
     sketches = materialize(sketch_items(items, percent, margin), "item-sketches")
-    hashes = docs.where("text is not null").select(text_key(F.col("text")).alias("text_key"), F.explode(shingle_hashes(F.col("text"))).alias("h"))
+    hashes = docs.where("text is not null").select(text_key(F.col("text")).alias("text_key"), F.explode_outer(shingle_hashes(F.col("text"))).alias("h"))
     hits = hashes.join(sketches, "h").select("text_key", "item_key", "h", "least").distinct()
     return hits.groupBy("text_key", "item_key").agg(F.count("*").alias("hits"), F.first("least").alias("least")).where("hits >= least").select("text_key", "item_key")
 
@@ -87,9 +89,10 @@ def candidates(docs: DataFrame, items: DataFrame, percent: int, margin: int) ->
 def contained(docs: DataFrame, items: DataFrame, percent: int = 80, margin: int = 4) -> DataFrame:
     """(text_key, item_key, n_item_shingles, n_shared): distinct texts that contain distinct items."""
     pairs = materialize(candidates(docs, items, percent, margin), "item-candidates")
+    keys = materialize(pairs.select("text_key").distinct(), "item-candidate-keys")
+    texts = docs.where("text is not null").select(text_key(F.col("text")).alias("text_key"), "text").join(small(keys), "text_key").dropDuplicates(["text_key"])
     by_text = pairs.groupBy("text_key").agg(F.collect_set("item_key").alias("asked"))
-    texts = docs.where("text is not null").select(text_key(F.col("text")).alias("text_key"), "text").join(by_text, "text_key").dropDuplicates(["text_key"])
-    asked = texts.select("text_key", shingles(F.col("text")).alias("have"), F.explode("asked").alias("item_key"))
+    asked = texts.join(by_text, "text_key").select("text_key", shingles(F.col("text")).alias("have"), F.explode("asked").alias("item_key"))
     wanted = items.where("text is not null").select(text_key(F.col("text")).alias("item_key"), shingles(F.col("text")).alias("want")).dropDuplicates(["item_key"])
     counts = F.size("want").cast("long").alias("n_item_shingles"), F.size(F.array_intersect("want", "have")).cast("long").alias("n_shared")
     checked = asked.join(wanted, "item_key").select("text_key", "item_key", *counts)
@@ -108,6 +111,6 @@ def find(docs: DataFrame, items: DataFrame, percent: int = 80, margin: int = 4)
 
 def clean(docs: DataFrame, items: DataFrame, percent: int = 80) -> DataFrame:
     """The documents that contain no item."""
-    bad = contained(docs, items, percent).select("text_key").distinct()
+    bad = materialize(contained(docs, items, percent).select("text_key").distinct(), "item-bad-keys")
     row = docs.select(F.struct(*docs.columns).alias("_row"), text_key(F.col("text")).alias("text_key"))
-    return row.join(bad, "text_key", "left_anti").select("_row.*")
+    return row.join(small(bad), "text_key", "left_anti").select("_row.*")
