@@ -199,5 +199,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, keys_per_shard: int = 200_0
 
 def clean(docs: DataFrame, min_docs: int = 10) -> DataFrame:
     """The documents with their own columns, frequent lines gone."""
-    packed = docs.select(F.struct(*docs.columns).alias("_row"), "text")
-    return dedup_lines(packed, min_docs).select("_row.*", F.col("text").alias("_text")).select(*[F.col("_text").alias(c) if c == "text" else F.col(c) for c in docs.columns])
+    rest = [c for c in docs.columns if c != "text"]
+    packed = docs.select(F.struct(*rest).alias("_row"), "text")
+    done = dedup_lines(packed, min_docs)
+    return done.select(*[F.col("text") if c == "text" else F.col(f"_row.{c}").alias(c) for c in docs.columns])
