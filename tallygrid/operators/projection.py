@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -180,60 +179,56 @@ def scenario_national(projected: DataFrame, spec: Spec = ELECTORAL) -> DataFrame
     return share_of_total(out, scope, "votos_pred_2026", "share_nacional_pred_2026")
 
 
+def _uniform(digest: Column, start: int) -> Column:
+    """A number between 0 and 1 from 52 bits of a digest in hex."""
+    return (F.conv(F.substring(digest, start, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
+
+
+def _normal(key: Column) -> Column:
+    """A standard normal value that depends on the key alone (Box-Muller)."""
+    digest = F.md5(key)
+    return F.sqrt(-2 * F.ln(_uniform(digest, 1))) * F.cos(2 * math.pi * _uniform(digest, 14))
+
+
 def uncertainty_bands(
     prepared: DataFrame, n: int = 3000, seed: int = 42, spec: Spec = ELECTORAL, scenarios: Sequence[Scenario] = SCENARIOS,
     sigma: float = DEFAULT_SIGMA,
 ) -> DataFrame:
     """Mean, quantiles and deviation of the national share over n noisy replicates.
 
-    Replicates never become rows of the section table.  A section contest is one row (its
-    entities in an array), its noise comes from a generator seeded by the contest key, and
-    every task adds up one vector of n totals per scenario and entity.  Only those vectors
-    are shuffled, and results do not depend on the partitioning.
+    A section contest is one row with its entities in an array (a ballot bounds it), so a
+    replicate is normalised inside its row.  Noise is a function of contest, entity,
+    scenario and replicate, whatever the partitioning.  Votes are added up by entity and
+    replicate with partial aggregation: a task sends at most one row for each of those.
     """
     unit = unit_columns(prepared, spec)
     entity = F.struct(
-        "entidade", F.coalesce("share", F.lit(0.0)).alias("share"), "swing_anual_estimado",
+        "entidade", F.coalesce("share", F.lit(0.0)).alias("share"), F.coalesce("swing_anual_estimado", F.lit(0.0)).alias("swing"),
         F.coalesce("sigma_estimado", F.lit(sigma)).alias("sigma"), F.col("anos_ate_alvo").cast("double").alias("anos"),
         F.coalesce("eleitorado", F.lit(0.0)).alias("eleitorado"), _turnout(0.0).alias("turnout"),
     )
-    # A ballot bounds the array: one element per entity of the contest.
     contests = prepared.groupBy(*unit).agg(F.array_sort(F.collect_list(entity)).alias("itens")).select(
-        *spec.contest, F.xxhash64(F.lit(seed), *unit).alias("semente"), "itens"
+        *spec.contest, F.concat_ws("|", F.lit(str(seed)), *unit).alias("chave"), "itens"
+    )
+    plan = F.array(*[
+        F.struct(F.lit(s.name).alias("cenario"), F.lit(s.trend_weight).alias("peso"), F.lit(s.turnout_shift).alias("desvio"), F.lit(s.noise).alias("ruido"))
+        for s in scenarios
+    ])
+    runs = contests.select("*", F.explode(plan).alias("s")).select("*", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("r"))
+
+    def drawn(e: Column) -> Column:
+        key = F.concat_ws("|", "chave", F.col("s.cenario"), e["entidade"], F.col("r").cast("string"))
+        raw = F.greatest(e["share"] + F.col("s.peso") * e["swing"] * e["anos"] + _normal(key) * e["sigma"] * F.col("s.ruido"), F.lit(1e-6))
+        cast = e["eleitorado"] * F.least(F.greatest(e["turnout"] + F.col("s.desvio"), F.lit(0.30)), F.lit(0.98))
+        return F.struct(e["entidade"].alias("entidade"), raw.alias("raw"), cast.alias("votantes"))
+
+    scope = ["cenario", *spec.contest]
+    runs = runs.select(F.col("s.cenario").alias("cenario"), *spec.contest, "r", F.transform("itens", drawn).alias("x"))
+    runs = runs.withColumn("total", F.aggregate("x", F.lit(0.0), lambda a, e: a + e["raw"]))
+    votes = runs.select(*scope, "r", "total", F.explode("x").alias("e")).select(
+        *scope, "r", F.col("e.entidade").alias("entidade"), (F.col("e.raw") / F.col("total") * F.col("e.votantes")).alias("v")
     )
-    plan = [(s.name, s.trend_weight, s.turnout_shift, s.noise) for s in scenarios]
-    contest = list(spec.contest)
-
-    def simulate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        totals: dict[tuple, np.ndarray] = {}
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                items = row.itens
-                share, swing, spread, years, heads, turnout = (
-                    np.array([i[k] for i in items], dtype=float)
-                    for k in ("share", "swing_anual_estimado", "sigma", "anos", "eleitorado", "turnout")
-                )
-                rng = np.random.default_rng(np.uint64(row.semente & 0xFFFFFFFFFFFFFFFF))
-                for name, weight, shift, noise in plan:
-                    z = rng.standard_normal((len(items), n))
-                    raw = np.clip((share + weight * swing * years)[:, None] + z * (spread * noise)[:, None], 1e-6, None)
-                    votes = raw / raw.sum(axis=0) * (heads * np.clip(turnout + shift, 0.30, 0.98))[:, None]
-                    for item, vector in zip(items, votes):
-                        key = (name, *(getattr(row, c) for c in contest), item["entidade"])
-                        if key in totals:
-                            totals[key] += vector
-                        else:
-                            totals[key] = vector.copy()
-        if totals:
-            frame = pd.DataFrame(list(totals), columns=["cenario", *contest, "entidade"])
-            frame["votos"] = list(totals.values())
-            yield frame
-
-    schema = ", ".join(["cenario string", *[f"{c} string" for c in contest], "entidade string", "votos array<double>"])
-    partial = contests.mapInPandas(simulate, schema)
-    scope = ["cenario", *contest]
-    runs = partial.select(*scope, "entidade", F.posexplode("votos").alias("r", "v")).groupBy(*scope, "entidade", "r").agg(F.sum("v").alias("v"))
-    shares = share_within(runs, [*scope, "r"], "v", "share")
+    shares = share_of_total(votes.groupBy(*scope, "entidade", "r").agg(F.sum("v").alias("v")), [*scope, "r"], "v", "share")
     # n values per group, a parameter
     q = F.percentile("share", F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95)))
     out = shares.groupBy(*scope, "entidade").agg(
