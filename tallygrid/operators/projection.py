@@ -223,12 +223,12 @@ def uncertainty_bands(
         return F.struct(e["entidade"].alias("entidade"), raw.alias("raw"), cast.alias("votantes"))
 
     scope = ["cenario", *spec.contest]
-    runs = runs.select(F.col("s.cenario").alias("cenario"), *spec.contest, "r", F.transform("itens", drawn).alias("x"))
-    runs = runs.withColumn("total", F.aggregate("x", F.lit(0.0), lambda a, e: a + e["raw"]))
-    votes = runs.select(*scope, "r", "total", F.explode("x").alias("e")).select(
-        *scope, "r", F.col("e.entidade").alias("entidade"), (F.col("e.raw") / F.col("total") * F.col("e.votantes")).alias("v")
-    )
-    shares = share_of_total(votes.groupBy(*scope, "entidade", "r").agg(F.sum("v").alias("v")), [*scope, "r"], "v", "share")
+    # Draws are bound as an array of one, so that the sum and the votes read them without drawing again.
+    draws = F.transform(F.array(F.transform("itens", drawn)), lambda x: F.struct(x.alias("x"), F.aggregate(x, F.lit(0.0), lambda t, e: t + e["raw"]).alias("total")))
+    cast = F.transform(draws, lambda d: F.transform(d["x"], lambda e: F.struct(e["entidade"].alias("entidade"), (e["raw"] / d["total"] * e["votantes"]).alias("v"))))
+    votes = runs.select(F.col("s.cenario").alias("cenario"), *spec.contest, "r", F.explode_outer(F.flatten(cast)).alias("e")).select(*scope, "r", "e.*")
+    totals = votes.groupBy(*scope, "entidade", "r").agg(F.sum("v").alias("v"))
+    shares = share_within(totals, [*scope, "r"], "v", "share")  # one row per entity of a contest
     # n values per group, a parameter
     q = F.percentile("share", F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95)))
     out = shares.groupBy(*scope, "entidade").agg(
