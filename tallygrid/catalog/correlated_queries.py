@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import correlated as co
 from ..operators import levels
+from ..session import materialize
 from ..sources import records
 from .base import DIMS, Data, cte, frac, query, r6
 from .level_queries import dsum
@@ -161,7 +162,7 @@ def c5(d):
 
 
 def layers(d: Data):
-    a = annotated(d)
+    a = materialize(annotated(d), "annotated")  # read by every layer
     return a, co.results_sector_entity(a), co.electorate_sector(a), co.candidate_catalogue(a)
 
 

@@ -169,6 +169,16 @@ def distinct_text(df: DataFrame, keys: Sequence[str], source: str, out: str, lim
     return kept.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list(source)), separator).alias(out))
 
 
+def text_list(source: str, separator: str = " | ") -> Column:
+    """The distinct non-blank values of a group in text order, joined; null without any.
+
+    An aggregate beside others, so the lists cost no scan of their own; partial results are
+    sets, so a value is sent once per task and group.
+    """
+    values = F.collect_set(F.when(F.trim(F.coalesce(F.col(source), F.lit(""))) != "", F.col(source)))
+    return F.when(F.size(values) > 0, F.array_join(F.array_sort(values), separator))
+
+
 def average_rank(df: DataFrame, scope: Sequence[str], value: str, out: str) -> DataFrame:
     """Rank with ties sharing their mean position. For bounded groups."""
     ties = F.count(F.lit(1)).over(Window.partitionBy(*scope, value))

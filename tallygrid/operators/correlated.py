@@ -15,7 +15,7 @@ from ..functions.text import (
     correlation_year, entity_label, first_year, has_text, safe_text, section_codes, years_in,
 )
 from ..model import ELECTORAL, Spec
-from .core import distinct_text, pair_correlations, period_pairs, share_within, sums, top_ranked, unpivot
+from .core import distinct_text, pair_correlations, period_pairs, share_within, sums, text_list, top_ranked, unpivot
 
 SECTOR_KEYS = [
     "ano_correlacao", "uf", "cd_municipio", "nm_municipio", "zona", "secao", "local_votacao", "bairro",
@@ -81,6 +81,8 @@ def electorate_sector(annotated: DataFrame, spec: Spec = ELECTORAL) -> DataFrame
         F.sum("brancos").alias("brancos_setor"),
         F.sum("nulos").alias("nulos_setor"),
         F.sum("linhas_origem").alias("linhas_origem_eleitorado"),
+        text_list("arquivo_origem").alias("arquivos_eleitorado"),
+        text_list("subtitulo_arquivo").alias("subtitulos_eleitorado"),
         *[c.alias(f"eleitorado_total_dim_{d.replace('perfil_', '')}") for d, c in per_dim.items()],
     )
     totals = [F.col(f"eleitorado_total_dim_{d.replace('perfil_', '')}") for d in spec.dims]
@@ -106,8 +108,6 @@ def electorate_sector(annotated: DataFrame, spec: Spec = ELECTORAL) -> DataFrame
     ]
     profile = best.groupBy(*SECTOR_KEYS).agg(F.concat_ws("; ", *items).alias("perfil_predominante_setor"))
     out = sector.join(profile, SECTOR_KEYS, "left")
-    for source, name in (("arquivo_origem", "arquivos_eleitorado"), ("subtitulo_arquivo", "subtitulos_eleitorado")):
-        out = out.join(distinct_text(rows, SECTOR_KEYS, source, name), SECTOR_KEYS, "left")
     return out.withColumn("perfil_predominante_setor", F.coalesce("perfil_predominante_setor", F.lit("")))
 
 
@@ -128,14 +128,12 @@ def candidate_catalogue(annotated: DataFrame, spec: Spec = ELECTORAL) -> DataFra
     rows = annotated.filter("eh_candidato")
     keys = ["ano_correlacao", spec.period, spec.state, *spec.contest, spec.party, spec.candidate]
     keys += [c for c in ("ideologia", "coalizao") if c in rows.columns]
-    out = rows.groupBy(*keys).agg(F.sum("linhas_origem").alias("linhas_origem_candidato"))
     texts = {
         "arquivo_origem": "arquivos_candidato", "subtitulo_arquivo": "subtitulos_candidato",
         "dominio_documento": "dominios_candidato", "assunto_documento": "assuntos_candidato",
     }
-    for source, name in texts.items():
-        out = out.join(distinct_text(rows, keys, source, name), keys, "left")
-    return out
+    lists = [text_list(source).alias(name) for source, name in texts.items()]
+    return rows.groupBy(*keys).agg(F.sum("linhas_origem").alias("linhas_origem_candidato"), *lists)
 
 
 def keys_with_values(left: DataFrame, right: DataFrame, names: Sequence[str]) -> list[str]:
