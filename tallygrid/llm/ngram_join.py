@@ -11,10 +11,11 @@ same groups first deal the documents into cells that hold all pairs that can lin
 * Sizes fall into bands (a factor 1.5).  Sets that link differ in at most D shingles, a bound
   of the band, so of G = D + t groups at least t are the same in both.  Each group's content
   has one digest.  Neighbouring bands meet under groups of their own.
-* Documents that share a digest share a cell.  A digest of more than `hot` documents (an
-  empty group, or one that holds only words of a very common passage) is left out for a
-  document with fewer than t hot digests: its partners share a digest that isn't hot.
-  Nothing is lost; a document with t hot digests or more stays in all of them.
+* Two documents share a cell if they share t digests.  Digests of more than `hot` documents
+  (an empty group, or one that holds only words of a very common passage) are not paired:
+  a document with h of them needs only t - h shared digests that are not hot, and one with
+  t or more shares a cell with all such documents that have a hot digest in common with it.
+  So no linked pair is lost, and no more than `hot` documents are ever paired by a digest.
 * A cell of up to `page` sets is searched in one task by its tree.  A larger one is dealt
   into pages; every two pages meet in a task, so no task holds more than two pages.
 
@@ -43,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .common import mix, spread
+from .common import mix, small, spread
 from .graph import components
 
 _U = np.uint64
@@ -224,17 +225,24 @@ def sketch(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 def cells(sketched: DataFrame, percent: int, hot: int) -> DataFrame:
     """(k1, cell): sets that may link are in one cell."""
+    scheme = F.col("sig").bitwiseAND(F.lit(255)).alias("scheme")
+    needed = F.element_at(F.array(*[F.lit(s[3]) for s in schemes(percent)]), (F.col("scheme") + 1).cast("int"))
     rows = sketched.select(F.col("k1").alias("k"), F.explode("sigs").alias("sig"))
-    shared = rows.groupBy("sig").agg(F.count("*").alias("held"), F.min("k").alias("head"), F.max("k").alias("last")).where("head < last")
-    rows = rows.join(shared.select("sig", "head", (F.col("held") > hot).alias("hot")), "sig").distinct()
-    rows = materialize(rows, "ngram-shared")
-    needed = F.element_at(F.array(*[F.lit(s[3]) for s in schemes(percent)]), (F.col("sig").bitwiseAND(F.lit(255)) + 1).cast("int"))
-    full = rows.where("hot").groupBy("k", F.col("sig").bitwiseAND(F.lit(255)).alias("scheme")).agg(F.count("*").alias("n"), F.first(needed).alias("needed"))
-    stay = rows.where("hot").withColumn("scheme", F.col("sig").bitwiseAND(F.lit(255))).join(full.where("n >= needed"), ["k", "scheme"], "left_semi")
-    heads = stay.groupBy("sig").agg(F.min("k").alias("head"))
-    hot_links = stay.select("k", "sig").join(heads, "sig").select("k", "head")
-    links = rows.where("not hot").select("k", "head").unionByName(hot_links).select(F.col("k").alias("a"), F.col("head").alias("b"))
-    return components(links, "ngram-cells").select(F.col("node").alias("k1"), F.col("component").alias("cell"))
+    shared = rows.groupBy("sig").agg(F.count("*").alias("held"), F.min("k").alias("first"), F.max("k").alias("last")).where("first < last")
+    rows = materialize(rows.join(shared.select("sig", (F.col("held") > hot).alias("hot")), "sig").distinct(), "ngram-shared")
+    cold = rows.where("not hot").select("k", "sig", scheme)
+    heat = rows.where("hot").groupBy("k", scheme).agg(F.count("*").alias("heat"))
+    # Two sets that link share `needed` digests; those among them that are hot are at most the hot ones of either.
+    met = cold.alias("x").join(cold.alias("y"), "sig").where("x.k < y.k").groupBy(F.col("x.k").alias("a"), F.col("y.k").alias("b"), F.col("x.scheme").alias("scheme"))
+    met = met.agg(F.count("*").alias("met"))
+    for side in ("a", "b"):
+        met = met.join(heat.select(F.col("k").alias(side), "scheme", F.col("heat").alias(f"heat_{side}")), [side, "scheme"], "left")
+    cover = F.least(F.coalesce("heat_a", F.lit(0)), F.coalesce("heat_b", F.lit(0)))
+    cold_links = met.where(F.col("met") + cover >= needed).select("a", "b")
+    # Sets that could share only hot digests stay in all their hot ones.
+    stay = rows.where("hot").select("k", "sig", scheme).join(heat.where(F.col("heat") >= needed), ["k", "scheme"], "left_semi").select("k", "sig")
+    hot_links = stay.join(stay.groupBy("sig").agg(F.min("k").alias("first")), "sig").select(F.col("k").alias("a"), F.col("first").alias("b"))
+    return components(cold_links.unionByName(hot_links), "ngram-cells").select(F.col("node").alias("k1"), F.col("component").alias("cell"))
 
 
 def _verifier(width: int, percent: int):
@@ -266,7 +274,7 @@ def links(docs: DataFrame, sketched: DataFrame, width: int, percent: int, hot: i
         F.when(one, F.lit(-1)).otherwise(F.least("page", "other")).alias("i"), F.when(one, F.lit(-1)).otherwise(F.greatest("page", "other")).alias("j"),
     )
     texts = docs.select("doc_id", F.xxhash64("text").alias("tkey"), "text")
-    placed = texts.join(member, ["doc_id", "tkey"]).withColumnRenamed("doc_id", "rep")
+    placed = texts.join(small(materialize(member, "ngram-placed")), ["doc_id", "tkey"]).withColumnRenamed("doc_id", "rep")
     return placed.groupBy("unit", "i", "j").applyInPandas(_verifier(width, percent), "a long, b long")
 
 
@@ -286,10 +294,17 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component: that with the smallest doc_id.
 
     Documents without shingles or without doc_id stay, repeated rows of one document once.
+    The texts are only shuffled if the rows that go don't fit into a broadcast.
     """
-    found = join(docs, width, percent)
-    first = found.where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select("doc_id", "tkey").distinct()
+    found = materialize(join(docs, width, percent), "ngram-found")
+    gone = materialize(found.where(F.col("doc_id") != F.col("component_id")).select("doc_id", "tkey").distinct(), "ngram-gone")
+    twice = materialize(found.groupBy("doc_id", "tkey").count().where("count > 1").select("doc_id", "tkey"), "ngram-twice")
     row = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", F.xxhash64("text").alias("tkey"))
-    right = first.select(F.col("doc_id").alias("_d"), F.col("tkey").alias("_t"))
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("tkey") == F.col("_t"))
-    return row.join(right, same, "left_semi").dropDuplicates(["doc_id", "tkey"]).select("_row.*")
+
+    def meet(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        keys = small(keys).select(F.col("doc_id").alias("_d"), F.col("tkey").alias("_t"))
+        return rows.join(keys, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("tkey") == F.col("_t")), how)
+
+    stay = meet(row, gone, "left_anti")
+    once, again = meet(stay, twice, "left_anti"), meet(stay, twice, "left_semi").dropDuplicates(["doc_id", "tkey"])
+    return once.unionByName(again).select("_row.*")
