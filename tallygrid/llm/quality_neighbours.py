@@ -143,9 +143,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 8192, rank: int
         pairs = np.frombuffer(r["counts"], np.dtype([("bin", "<u2"), ("value", "<f4")]))
         rows[i, pairs["bin"]] = pairs["value"]
     rows *= idf
-    length = np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
+    rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
     quality = np.array([float(r["quality"] > 0) for r in got])
-    axes = latent_axes(rows / length, min(rank, len(got)))
+    axes = latent_axes(rows, min(rank, len(got)))
     flat = rows @ axes
     vectors = (flat / np.maximum(np.linalg.norm(flat, axis=1, keepdims=True), 1e-9)).astype(np.float32)
     return Model(idf, axes, vectors, quality, float(quality.mean()), neighbours, power)
