@@ -128,8 +128,8 @@ def s14(d):
     return counted(d.table("orders"), ano=text.correlation_year(content, name))
 
 
-_UF27 = sorted(u for s in REGION_STATES.values() for u in s.split())
-_REGION = {u: r for r, s in REGION_STATES.items() for u in s.split()}
+_UF27 = sorted(u for s in REGION_STATES.values() for u in s)
+_REGION = {u: r for r, s in REGION_STATES.items() for u in s}
 
 
 @query("S16_region_of_uf", "select case o_orderkey % 28 " + " ".join(f"when {i} then '{_REGION[u]}'" for i, u in enumerate(_UF27)) + " else 'Sem regiao' end as regiao, count(*) as n from orders group by 1")

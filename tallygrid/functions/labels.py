@@ -106,5 +106,5 @@ def coalesce_profile_aliases(columns: list[str], role: str) -> Column:
 
 
 def region_of_state(c: Column | str) -> Column:
-    table = {uf: region for region, states in REGION_STATES.items() for uf in states.split()}
+    table = {uf: region for region, states in REGION_STATES.items() for uf in states}
     return F.coalesce(_lookup(F.upper(_col(c)), table), F.lit("Sem regiao"))

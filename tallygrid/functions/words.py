@@ -95,11 +95,11 @@ FIELD_LABELS = {
 
 # The five regions and their states.
 REGION_STATES = {
-    "Norte": "AC AP AM PA RO RR TO",
-    "Nordeste": "AL BA CE MA PB PE PI RN SE",
-    "Centro-Oeste": "DF GO MT MS",
-    "Sudeste": "ES MG RJ SP",
-    "Sul": "PR RS SC",
+    "Norte": ["AC", "AP", "AM", "PA", "RO", "RR", "TO"],
+    "Nordeste": ["AL", "BA", "CE", "MA", "PB", "PE", "PI", "RN", "SE"],
+    "Centro-Oeste": ["DF", "GO", "MT", "MS"],
+    "Sudeste": ["ES", "MG", "RJ", "SP"],
+    "Sul": ["PR", "RS", "SC"],
 }
 
 # Raw column names accepted for each profile dimension, best first.
