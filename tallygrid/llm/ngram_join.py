@@ -229,7 +229,8 @@ def cells(sketched: DataFrame, percent: int, hot: int) -> DataFrame:
     needed = F.element_at(F.array(*[F.lit(s[3]) for s in schemes(percent)]), (F.col("scheme") + 1).cast("int"))
     rows = sketched.select(F.col("k1").alias("k"), F.explode("sigs").alias("sig"))
     shared = rows.groupBy("sig").agg(F.count("*").alias("held"), F.min("k").alias("first"), F.max("k").alias("last")).where("first < last")
-    rows = materialize(rows.join(shared.select("sig", (F.col("held") > hot).alias("hot")), "sig").distinct(), "ngram-shared")
+    shared = materialize(shared.select("sig", (F.col("held") > hot).alias("hot")), "ngram-digests")
+    rows = materialize(rows.join(small(shared, 48, 96 << 20), "sig").distinct(), "ngram-shared")
     cold = rows.where("not hot").select("k", "sig", scheme)
     heat = rows.where("hot").groupBy("k", scheme).agg(F.count("*").alias("heat"))
     # Two sets that link share `needed` digests; those among them that are hot are at most the hot ones of either.
