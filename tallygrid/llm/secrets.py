@@ -6,8 +6,11 @@ name, a value of 12 characters or more), `access` (access keys) and `hex` (16 or
 The lexer adds `literal` spans.  It visits every `=`, `:`, `:=` and `=>` of a text, reads the
 name before it (identifiers with dots and dashes, quoted keys, subscripts: Python,
 JavaScript, JSON, YAML, INI, shell) and the value behind it: a quoted literal, several joined
-by `+`, a bare word of configuration, or another name.  Literals given to names are constants;
-a name given to a sensitive name passes its literal on, through any number of steps.
+by `+`, a bare word of configuration, or another name.  `name: Type = value` is one assignment,
+to the name (a telling word of the type counts too), and a type alone gives nothing.
+Literals given to names are constants; a name given to a sensitive name passes its literal on,
+through any number of steps: the one it was last given before that place of the text, or, if
+it has none there, the first one after it.
 A literal is reported if the weight of its most sensitive target name times the literal's own
 strength (length, mixed characters, variety; placeholders and plain words count nothing)
 reaches `least`.  The span is the literal without quotes.
@@ -21,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left, insort
 from collections import Counter
 
 import pyarrow as pa
@@ -46,6 +50,11 @@ PLACEHOLDERS = re.compile(r"(?i)change.?me|example|placeholder|your[-_ ]|xxx|dum
 _OPERATOR = re.compile(r":=|=>|(?<![=!<>:+*/-])=(?![=~])|:(?![:/=])")
 _VALUE = re.compile(r"""[ \t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`]*)`|([^\s"'`,;()\[\]{}]+))""")
 _JOIN = re.compile(r"""[ \t]*\+[ \t]*(?=["'`])""")
+_TYPE_WORD = re.compile(r"""[ \t]*(?:(?:[&*?]|mut\b|dyn\b|'\w+(?=[ \t]))[ \t]*)*(?:[A-Za-z_$][\w$.]*|"[^"\n]*"|'[^'\n]*')""")
+_TYPE_PART = re.compile(r"[ \t]*([\[(<])|[?!]")
+_TYPE_MORE = re.compile(r"[ \t]*[|&]")
+_GIVEN = re.compile(r"[ \t]*=(?![=~>])")
+_BRACKETS = re.compile(r"[\[\]()<>]")
 _IDENTIFIER = re.compile(r"[A-Za-z_$][\w$.]*\Z", re.ASCII)
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
@@ -82,50 +91,117 @@ def _name_before(text: str, end: int) -> str:
     return text[start:stop]
 
 
+def _pairs(text: str) -> dict[int, int]:
+    """Where each bracket that opens is closed; each kind is paired by itself."""
+    opened: dict[str, list[int]] = {"]": [], ")": [], ">": []}
+    out = {}
+    for mark in _BRACKETS.finditer(text):
+        if mark[0] in opened:
+            if opened[mark[0]]:
+                out[opened[mark[0]].pop()] = mark.start()
+        else:
+            opened[{"[": "]", "(": ")", "<": ">"}[mark[0]]].append(mark.start())
+    return out
+
+
+def _past_type(text: str, at: int, pairs: dict[int, int]) -> tuple[int, int] | None:
+    """Start and end of the `=` behind a type, if that is what stands here; `pairs` is filled when a bracket asks for it."""
+    while word := _TYPE_WORD.match(text, at):
+        at = word.end()
+        while part := _TYPE_PART.match(text, at):
+            at = part.end()
+            if part[1]:
+                if not pairs:
+                    pairs.update({-1: -1} | _pairs(text))
+                close = pairs.get(part.start(1))
+                if close is None:
+                    return None
+                at = close + 1
+        if given := _GIVEN.match(text, at):
+            return given.end() - 1, given.end()
+        more = _TYPE_MORE.match(text, at)
+        if not more:
+            return None
+        at = more.end()
+    return None
+
+
+def _value_at(text: str, at: int) -> tuple[list[tuple[int, int]], str | None]:
+    """Spans of a literal's parts, and the name that stands there instead of one."""
+    spans, source = [], None
+    while value := _VALUE.match(text, at):
+        kind = value.lastindex
+        if kind == 4 and _IDENTIFIER.match(value[4]):
+            source = value[4] if not spans else None
+        if kind != 4 or not spans:
+            spans.append(value.span(kind))
+        more = _JOIN.match(text, value.end()) if kind != 4 else None
+        if not more:
+            break
+        at = more.end()
+    return spans, source
+
+
 def lex(text: str) -> list[tuple[str, list[tuple[int, int]], str | None]]:
     """Assignments in order: target name, spans of its literal's parts, or the name it is given."""
-    out = []
+    out, colons, types, done = [], [], set(), set()
+    pairs: dict[int, int] = {}
     for sign in _OPERATOR.finditer(text):
+        if sign.start() in done:
+            continue
         name = _name_before(text, sign.start())
         if not name:
             continue
-        at, spans, source = sign.end(), [], None
-        while value := _VALUE.match(text, at):
-            kind = value.lastindex
-            if kind == 4 and _IDENTIFIER.match(value[4]):
-                source = value[4] if not spans else None
-            if kind != 4 or not spans:
-                spans.append(value.span(kind))
-            more = _JOIN.match(text, value.end()) if kind != 4 else None
-            if not more:
-                break
-            at = more.end()
+        typed = _past_type(text, sign.end(), pairs) if sign[0] == ":" else None
+        if typed:
+            spans, source = _value_at(text, typed[1])
+            if spans and (text[typed[0] - 1] in " \t" or text[spans[0][0] - 1] in "\"'`"):
+                done.add(typed[0])
+                word = _name_before(text, typed[0])
+                types.add(word)
+                out += [(n, spans, source) for n in (word, name) if n]
+                continue
+            if source is not None:  # `name: a=b` can be a type and a name, or one bare word
+                out.append((name, spans, source))
+        spans, source = _value_at(text, sign.end())
+        if sign[0] == ":" and source is not None:
+            colons.append(len(out))
         if spans:
             out.append((name, spans, source))
-    return out
+    bare = {i for i in colons if out[i][2] in types}  # types without a value
+    return [a for i, a in enumerate(out) if i not in bare]
+
+
+def _resolved(found: list[tuple[str, list[tuple[int, int]], str | None]]) -> list[list[tuple[int, int]] | None]:
+    """The literal that each assignment gives its name, if it can be told."""
+    values = [spans if source is None else None for _, spans, source in found]
+    bound: dict[str, list[int]] = {}
+    waiting: dict[str, list[int]] = {}
+    for i, (name, _, source) in enumerate(found):
+        if source in bound:
+            values[i] = values[bound[source][-1]]
+        if values[i] is None:
+            waiting.setdefault(source, []).append(i)
+        else:
+            bound.setdefault(name, []).append(i)
+    ready = [source for source in waiting if source in bound]
+    while ready:
+        source = ready.pop()
+        for i in waiting.pop(source, ()):
+            at = bisect_left(bound[source], i)
+            values[i] = values[bound[source][max(at - 1, 0)]]
+            insort(bound.setdefault(found[i][0], []), i)
+            ready.append(found[i][0])
+    return values
 
 
 def literal_spans(text: str, least: float = 0.5) -> list[tuple[int, int]]:
     """Spans of literals that sensitive names hold, directly or through constants."""
-    constants: dict[str, list[tuple[int, int]]] = {}
     reach: dict[tuple[tuple[int, int], ...], float] = {}
-    waiting: list[tuple[str, str]] = []
-    for name, spans, source in lex(text):
-        if source is not None:
-            waiting.append((name, source))
-        else:
-            constants[name] = spans
+    assigned = lex(text)
+    for (name, spans, _), value in zip(assigned, _resolved(assigned), strict=True):
         weight = name_weight(name)
-        if weight:
-            reach[tuple(spans)] = max(weight, reach.get(tuple(spans), 0.0))
-    given = dict(waiting)
-    for name, source in waiting:
-        weight, seen = name_weight(name), {name}
-        while weight and source not in seen and source not in constants and source in given:
-            seen.add(source)
-            source = given[source]
-        if weight and source in constants:
-            key = tuple(constants[source])
+        for key in {tuple(spans), tuple(value or spans)} if weight else ():  # a name can be a bare word
             reach[key] = max(weight, reach.get(key, 0.0))
     found = []
     for spans, weight in reach.items():

@@ -50,6 +50,25 @@ def test_literals_of_sensitive_names(text, literals):
     assert [text[a:b] for a, b in secrets.literal_spans(text)] == literals
 
 
+@pytest.mark.parametrize(
+    "text,literals",
+    [
+        ('class Settings:\n    db_password: str = "zX9!kLm2Qw8r"\n    api_token: str = "pQ7#vNb4Ty6u"\n    region: str = "eu-west-1-prod"\n', ["zX9!kLm2Qw8r", "pQ7#vNb4Ty6u"]),
+        ('password: Optional[str] = "zX9!kLm2Qw8r"', ["zX9!kLm2Qw8r"]),
+        ('password: dict[str, list[str]] | None = "zX9!kLm2Qw8r"\nregion: str = "eu-west-1-prod"\npassword: str\n', ["zX9!kLm2Qw8r"]),
+        ("def f(token: 'str'='zX9!kLm2Qw8r', region: str='eu-west-1-prod'): pass", ["zX9!kLm2Qw8r"]),
+        ("const pwd: &'static str = \"zX9!kLm2Qw8r\";\nlet secret: Map<string, string> = 'pQ7#vNb4Ty6u'", ["zX9!kLm2Qw8r", "pQ7#vNb4Ty6u"]),
+        ('K = "zX9!kLm2Qw8r"\npassword: str = K\ntoken: str=K', ["zX9!kLm2Qw8r"]),
+        ('error: password="zX9!kLm2Qw8r"\nsecret: dGhpc2lzYXNlY3JldA=\n', ["zX9!kLm2Qw8r", "dGhpc2lzYXNlY3JldA="]),
+        ('k = "zX9!kLm2Qw8r"\npassword = k\nk = "eu-west-1-prod"\n', ["zX9!kLm2Qw8r"]),
+        ('password = k\nk = j\nj = "zX9!kLm2Qw8r"\nj = "eu-west-1-prod"\n', ["zX9!kLm2Qw8r"]),
+        ('k = "zX9!kLm2Qw8r"\nk = k.strip()\npassword = k\n', ["zX9!kLm2Qw8r"]),
+    ],
+)
+def test_types_and_values_in_force(text, literals):
+    assert [text[a:b] for a, b in secrets.literal_spans(text)] == literals
+
+
 def test_scan_on_odd_rows(spark):
     out = secrets.scan(frames.odd(spark))
     assert out.count() == 12 and out.where("spans <> ''").count() == 0 and out.where("base_sha256 is null").count() == 0
