@@ -6,10 +6,11 @@ decides.  The other urls are decided by mined rules:
 * A url is a set of tokens: host labels by level, words of hyphenated labels, path segments
   (numbers generalised), extension, query keys and scheme.
 * Pages whose url ends in the id of a labelled document carry its label.  FP-growth mines
-  token combinations that go with a bad label.  Rules are kept with enough support,
-  confidence and lift; one that contains a shorter rule at least as sure is pruned.
-* Rules are indexed by token.  Each distinct token set looks its tokens up; a rule matches if
-  as many tokens hit it as it has.  A url that any mined rule matches is blocked, else allowed.
+  token combinations of the bad urls alone; Spark counts them among all labelled urls.  Rules
+  are kept with enough bad urls (a number, whatever the table's size), enough confidence and
+  enough above the base rate; one that contains a shorter rule at least as sure is pruned.
+* Rules are indexed by their rarest token.  Each distinct token set looks its tokens up; a rule
+  matches if the set holds all of it.  A url that any mined rule matches is blocked, else allowed.
 
 All of it is DataFrame functions and pyspark.ml.  A null url, or one without "://", has an
 empty host and path, fits no rule and has no tokens: it is allowed.  Without labels, or with
@@ -26,8 +27,6 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .common import small
 
-_BAD = "=bad"
-
 
 def parts(url: Column) -> tuple[Column, Column]:
     """Host (A-Z lower-cased) and path of a url; both empty without "://"."""
@@ -70,38 +69,69 @@ def labelled_id(path: Column) -> Column:
     return F.regexp_extract(path, "/([0-9]{1,18})(?:\\.[a-z]+)?/?$", 1).try_cast("long")
 
 
-def mine(pages: DataFrame, labels: DataFrame, min_support: float = 0.002, min_count: int = 20, min_confidence: float = 0.5, min_lift: float = 2.0) -> DataFrame:
+def mine(pages: DataFrame, labels: DataFrame, min_count: int = 20, min_confidence: float = 0.5, min_lift: float = 2.0) -> DataFrame:
     """(rule, tokens, confidence, support, lift) of token combinations that go with a bad label.
 
-    A combination must be in a share `min_support` of the labelled urls and in `min_count` of
-    them.  What reaches the driver inside FP-growth are its frequent items, at most (tokens
-    per url) / min_support.
+    A combination must be in `min_count` bad urls.  Its urls must be bad `min_lift` times as often
+    as all, or good `min_lift` times as seldom, which stays possible when most urls are bad.
+    Tokens that only bad urls have are rules by themselves and prune all that contains them, so
+    they are not mined further.  What reaches the driver inside FP-growth are the other tokens
+    with `min_count` bad urls; its combinations grow with the tokens that so many bad urls share.
     """
     marks = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     own = pages.select(labelled_id(parts(F.col("url"))[1]).alias("doc_id"), tokens(F.col("url")).alias("items")).where("doc_id is not null")
-    baskets = own.join(marks, "doc_id").select(F.when(F.col("quality") == 0, F.concat("items", F.array(F.lit(_BAD)))).otherwise(F.col("items")).alias("items"))
-    baskets = materialize(baskets.where(F.size("items") > 0), "url-baskets")
-    least = min(1.0, max(min_support, min_count / max(1, baskets.count())))
-    rules = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(baskets).associationRules
-    sure = rules.where((F.col("consequent") == F.array(F.lit(_BAD))) & (F.col("lift") >= min_lift))
-    sure = sure.select(F.array_join(F.array_sort("antecedent"), " ").alias("rule"), F.col("antecedent").alias("tokens"), "confidence", "support", "lift")
+    sets = own.join(marks, "doc_id").where(F.size("items") > 0).groupBy("items").agg(F.count("*").alias("n"), F.count_if(F.col("quality") == 0).alias("bad"))
+    sets = materialize(sets, "url-baskets")
+    total, bad = (x or 0 for x in sets.agg(F.sum("n"), F.sum("bad")).first())
+    counted = sets.select(F.explode("items").alias("token"), "n", "bad").groupBy("token").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    counted = materialize(counted.where(F.col("bad") >= min_count), "url-tokens")
+    pure = counted.where("bad = n").select(F.array("token").alias("tokens"), "n", "bad")
+
+    mixed = sets.where("bad > 0").select("items", "bad", F.explode("items").alias("token")).join(counted.where("bad < n").select("token"), "token")
+    baskets = mixed.groupBy("items", "bad").agg(F.collect_list("token").alias("mixed"))
+    baskets = materialize(baskets.select(F.col("mixed").alias("items"), F.explode(F.sequence(F.lit(1), F.col("bad").cast("int")))).select("items"), "url-bad")
+    least = min(1.0, (min_count - 0.5) / max(1, baskets.count()))
+    found = FPGrowth(itemsCol="items", minSupport=least).fit(baskets).freqItemsets.where(F.col("freq") >= min_count)
+    asked = found.select(F.array_sort("items").alias("tokens"), F.col("freq").alias("bad"))
+    rarest = asked.select("tokens", "bad", F.explode("tokens").alias("token")).join(counted.select("token", "n"), "token")
+    rarest = rarest.groupBy("tokens", "bad").agg(F.min(F.struct("n", "token")).alias("w")).select("tokens", "bad", F.col("w.token").alias("token"))
+    met = sets.select("items", "n", F.explode("items").alias("token")).join(small(materialize(rarest, "url-itemsets"), 512), "token")
+    among = met.where(_holds("items", "tokens")).groupBy("tokens", "bad").agg(F.sum("n").alias("n")).select("tokens", "n", "bad")
+
+    base = bad / max(1, total)
+    confidence = F.col("bad") / F.col("n")
+    rules = among.unionByName(pure).select(
+        F.array_join("tokens", " ").alias("rule"), "tokens", confidence.alias("confidence"), (F.col("bad") / F.lit(max(1, total))).alias("support"),
+        (confidence / F.lit(base or 1.0)).alias("lift"),
+    )
+    better = (F.col("lift") >= min_lift) | ((1 - F.col("confidence")) * min_lift <= 1 - base)
+    sure = rules.where((F.col("confidence") >= min_confidence) & (F.col("confidence") > base) & better)
     return prune(materialize(sure, "url-rules"))
 
 
+def _holds(items: str, part: str) -> Column:
+    return F.size(F.array_except(part, items)) == 0
+
+
+def _indexed(rules: DataFrame) -> DataFrame:
+    """The rules with `token`, the one of theirs that the fewest rules have."""
+    every = rules.select("rule", F.explode("tokens").alias("token"))
+    first = every.join(every.groupBy("token").agg(F.count("*").alias("n")), "token").groupBy("rule").agg(F.min(F.struct("n", "token")).alias("w"))
+    return rules.join(first.select("rule", F.col("w.token").alias("token")), "rule")
+
+
 def prune(rules: DataFrame) -> DataFrame:
-    """Rules of which no proper part is a rule at least as sure; parts are found by their tokens."""
-    size = F.size("tokens")
-    index = rules.select(F.col("rule").alias("part"), F.col("confidence").alias("part_confidence"), size.alias("part_size"), F.explode("tokens").alias("token"))
-    asked = rules.select("rule", "confidence", size.alias("size"), F.explode("tokens").alias("token"))
-    met = asked.join(index, "token").where("part_size < size and part_confidence >= confidence").groupBy("rule", "part").agg(F.count("*").alias("hits"), F.first("part_size").alias("part_size"))
-    return rules.join(met.where("hits = part_size").select("rule").distinct(), "rule", "left_anti")
+    """Rules of which no proper part is a rule at least as sure; parts are found by their rarest token."""
+    index = _indexed(rules).select(F.col("tokens").alias("part"), F.col("confidence").alias("part_confidence"), "token")
+    asked = rules.select("rule", "tokens", "confidence", F.explode("tokens").alias("token"))
+    met = asked.join(index, "token").where((F.size("part") < F.size("tokens")) & (F.col("part_confidence") >= F.col("confidence")) & _holds("tokens", "part"))
+    return rules.join(met.select("rule").distinct(), "rule", "left_anti")
 
 
 def matched(sets: DataFrame, rules: DataFrame) -> DataFrame:
     """(items, mined) for token sets that a rule matches; mined is the surest rule."""
-    index = rules.select("rule", "confidence", F.size("tokens").alias("size"), F.explode("tokens").alias("token"))
-    hits = sets.select("items", F.explode("items").alias("token")).join(small(materialize(index, "url-index"), 512), "token")
-    full = hits.groupBy("items", "rule").agg(F.count("*").alias("hits"), F.first("size").alias("size"), F.first("confidence").alias("confidence")).where("hits = size")
+    index = _indexed(rules).select("rule", "tokens", "confidence", "token")
+    full = sets.select("items", F.explode("items").alias("token")).join(small(materialize(index, "url-index"), 512), "token").where(_holds("items", "tokens"))
     return full.groupBy("items").agg(F.min(F.struct((-F.col("confidence")).alias("c"), "rule")).alias("w")).select("items", F.col("w.rule").alias("mined"))
 
 

@@ -111,6 +111,23 @@ def test_mined_url_rules_block_like_urls(spark):
     assert rules and not any(a < b for a in rules.values() for b in rules.values())
 
 
+def test_a_bad_host_is_mined_whatever_the_tables_size(spark):
+    rows = [(i, f"http://pills.org/{i}" if i < 25 else f"http://h{i % 9}.org/{i}") for i in range(20_000)]
+    bad = {i for i in range(20_000) if i < 25 or i % 11 == 0}
+    pages = spark.createDataFrame(rows, "page_id long, url string").repartition(4)
+    labels = frames.labels(spark, [(i, int(i not in bad), 0) for i in range(20_000)])
+    got = url_rules.judge(pages, labels, [])
+    assert {r["page_id"] for r in got.where("verdict = 'block'").collect()} == set(range(25))
+    odd = [(i, f"http://{'pills' if i < 60 else 'news' if i < 90 else 'shop'}.org/{'a' if i % 2 else 'b'}/{i}") for i in range(120)]
+    rows = [(i, int(60 <= i < 90 or 90 <= i and i % 2), 0) for i in range(120)]
+    pages = spark.createDataFrame(odd * 2, "page_id long, url string")
+    got = {r["page_id"]: r["verdict"] for r in url_rules.judge(pages, frames.labels(spark, rows), []).collect()}
+    assert sum(1 - r[1] for r in rows) > 60  # most are bad
+    assert {i for i, v in got.items() if v == "block"} == {r[0] for r in rows if not r[1]}
+    rules = {r["rule"]: r["confidence"] for r in url_rules.mine(pages, frames.labels(spark, rows)).collect()}
+    assert rules == {"h1:pills": 1.0, "h1:shop p:b": 1.0}
+
+
 def page(body, title="T"):
     return f"<!DOCTYPE html><html><head><title>{title}</title><style>p{{x:'</p>'}}</style><script>var a = '<p>no</p>';</script></head><body>{body}</body></html>"
 
