@@ -6,9 +6,13 @@
    hidden parts are left out while reading.
 2. A page scores each of its paths: the share of its text under the path, less text in links,
    more for deeper paths and telling names.
-3. A page votes for its best path with that score.  Spark adds the votes up per host and path,
-   after partial aggregation, and takes the first path of each host.
-4. Every page is read again and gives the text under its host's path; a page without that
+3. A page votes for its best path with that score, or for the article or main part around it.
+   Spark adds the votes up per host and path, after partial aggregation, and takes the first
+   path of each host.
+4. Outside of articles and main parts, the path is widened to the highest container that adds
+   text (not in links) which is mostly not boilerplate.  Boilerplate is a block that two
+   different pages of those that voted for the path have; a page alone shows none.
+5. Every page is read again and gives the text under its host's path; a page without that
    path gives that of its own best.
 
 Null html gives the empty string, as does a page without text.  A null url votes under the
@@ -18,6 +22,7 @@ White space inside a block becomes one space; blocks are joined by one.  Extra c
 
 from __future__ import annotations
 
+import hashlib
 import html as references
 import re
 from collections.abc import Iterator
@@ -145,8 +150,36 @@ def scores(page: str | None) -> dict[str, float]:
     return {p: s for p, s in out.items() if s > 0}
 
 
+def enclosing(path: str) -> str | None:
+    """The outermost article of a path, or else its outermost main part."""
+    steps = path.split("/")
+    for tag in ("article", "main"):
+        for i, step in enumerate(steps):
+            if step.partition(".")[0] == tag:
+                return "/".join(steps[: i + 1])
+    return None
+
+
 def best(found: dict[str, float]) -> str | None:
-    return min(found, key=lambda p: (-found[p], p)) if found else None
+    if not found:
+        return None
+    first = min(found, key=lambda p: (-found[p], p))
+    return enclosing(first) or first
+
+
+def further(page: str, path: str) -> list[tuple[str, bytes, int]]:
+    """(container, digest, size) of the blocks around a path; the container is the innermost one of the path that holds them."""
+    steps = path.split("/")
+    tops = ["/".join(steps[:i]) for i in range(len(steps) - 1, 0, -1)]
+    blocks: list[tuple[str, str]] = []
+    for where, text, link in runs(page):
+        if link or _within(where, path):
+            continue
+        if text == " " or not blocks or blocks[-1][0] != where:
+            blocks.append((where, ""))
+        blocks[-1] = (where, blocks[-1][1] + text)
+    found = {(next(top for top in tops if _within(where, top)), " ".join(text.split())) for where, text in blocks if text.strip()}
+    return [(top, hashlib.md5(text.encode("utf-8", "replace")).digest(), len(text)) for top, text in sorted(found)]
 
 
 def text_under(page: str | None, path: str | None) -> str:
@@ -163,7 +196,13 @@ def _within(path: str, top: str) -> bool:
     return path == top or path.startswith(f"{top}/") or not top
 
 
-_VOTES = T.ArrayType(T.StructType([T.StructField("path", T.StringType()), T.StructField("vote", T.DoubleType())]))
+_VOTES = T.ArrayType(T.StructType([
+    T.StructField("path", T.StringType()), T.StructField("vote", T.DoubleType()),
+    T.StructField("further", T.ArrayType(T.StructType([T.StructField("top", T.StringType()), T.StructField("block", T.BinaryType()), T.StructField("size", T.LongType())]))),
+]))
+_ARROW = pa.list_(pa.struct([
+    ("path", pa.string()), ("vote", pa.float64()), ("further", pa.list_(pa.struct([("top", pa.string()), ("block", pa.binary()), ("size", pa.int64())]))),
+]))
 
 
 @F.arrow_udf(returnType=_VOTES)
@@ -172,8 +211,9 @@ def _votes(pages: pa.Array) -> pa.Array:
     for page in pages.to_pylist():
         found = scores(page)
         path = best(found)
-        out.append([] if path is None else [{"path": path, "vote": found[path]}])
-    return pa.array(out, pa.list_(pa.struct([("path", pa.string()), ("vote", pa.float64())])))
+        around = [dict(zip(("top", "block", "size"), x, strict=True)) for x in further(page, path)] if path and not enclosing(path) else []
+        out.append([] if path is None else [{"path": path, "vote": max(found.values()), "further": around}])
+    return pa.array(out, _ARROW)
 
 
 @F.arrow_udf(returnType=T.StringType())
@@ -186,11 +226,19 @@ def host(url: Column) -> Column:
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, path, votes): the winning path of each host."""
-    ballots = pages.select(host(F.col("url")).alias("host"), F.explode(_votes(F.col("html"))).alias("v"))
-    counted = ballots.groupBy("host", F.col("v.path").alias("path")).agg(F.round(F.sum("v.vote"), 6).alias("votes"))
+    """(host, path, votes): the winning path of each host, widened."""
+    ballots = pages.select(host(F.col("url")).alias("host"), F.md5("html").alias("page"), F.explode(_votes.asNondeterministic()(F.col("html"))).alias("v"))
+    ballots = materialize(ballots.select("host", "page", "v.*"), "host-ballots")
+    counted = ballots.groupBy("host", "path").agg(F.round(F.sum("vote"), 6).alias("votes"))
     first = counted.groupBy("host").agg(F.min(F.struct((-F.col("votes")).alias("lost"), "path")).alias("w"))
-    return first.select("host", F.col("w.path").alias("path"), (-F.col("w.lost")).alias("votes"))
+    winners = first.select("host", F.col("w.path").alias("path"), (-F.col("w.lost")).alias("votes"))
+    around = ballots.where(F.size("further") > 0).join(winners.select("host", "path"), ["host", "path"])
+    blocks = around.select("host", "page", F.explode("further").alias("f")).select("host", "page", "f.*").distinct()
+    blocks = blocks.groupBy("host", "top", "block").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    own = F.sum(F.when(F.col("n") == 1, F.col("size")).otherwise(0))
+    tops = blocks.groupBy("host", "top").agg(own.alias("own"), F.sum("size").alias("size")).where("2 * own > size")
+    highest = tops.groupBy("host").agg(F.min_by("top", F.length("top")).alias("top"))
+    return winners.join(highest, "host", "left").select("host", F.coalesce("top", "path").alias("path"), "votes")
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -157,3 +157,18 @@ def test_hosts_agree_on_a_path(spark):
     assert got[8]["text"] == "Short." and got[9]["text"] == "Own layout." and got[10]["text"] == "A" and got[11]["text"] == ""
     assert all(r["n_chars"] == len(r["text"]) for r in got.values())
     assert html_paths.extract(pages.where("false")).count() == 0
+
+
+def test_nothing_around_a_nested_container_is_dropped(spark):
+    long_text = "This is a sentence of the article with enough words in it. " * 20
+    inner = f"<div class='entry-content'><p>{long_text}</p></div>"
+    source = page(f"<article><h1>Title</h1><p>Lead</p>{inner}</article>")
+    assert html_paths.text_under(source, html_paths.best(html_paths.scores(source))).startswith("Title Lead This")
+    assert html_paths.best(html_paths.scores(page(f"<main><h1>Title</h1>{inner}</main>"))) == "/body/main"
+    teaser = "<div class='other'><p>Other news here, the same on every page.</p></div>"
+    rows = [(i, f"http://art.org/{i}", page(f"<article><h1>Title {i}</h1><p>Lead {i}</p>{inner}</article>{teaser}")) for i in range(5)]
+    rows += [(i, f"http://wrap.org/{i}", page(f"<div class='wrap'><h1>Title {i}</h1><p>A <b>lead</b> of several words, longer than the news {i}</p>{inner}</div>{teaser}")) for i in range(10, 15)]
+    rows += [rows[-1], (20, "http://one.org/", page(f"<div class='wrap'><h1>Title 20</h1><p>A lead of several words, longer than the news 20</p>{inner}</div>"))]
+    got = {r["page_id"]: r["text"] for r in html_paths.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert got == {i: f"Title {i} {'Lead' if i < 5 else 'A lead of several words, longer than the news'} {i} {long_text.strip()}" for i in got}
+    assert len(got) == 11
