@@ -26,7 +26,8 @@ one class from the start (128-bit digest of the set); copies are never paired.
 Results: one row per document with its number of shingles and the smallest doc_id it reaches.
 Null and empty texts have no shingles and link to nothing.  A text with fewer words than the
 width is one shingle, its whole sequence.  Rows without doc_id cannot carry a class: they get
-the component of an equal set if there is one, else null.  Repeated rows get equal results.
+the component of an equal set if there is one, else null.  Repeated rows get equal results;
+rows of one doc_id with different texts are sets of their own.
 """
 
 from __future__ import annotations
@@ -249,18 +250,18 @@ def cells(sketched: DataFrame, percent: int, hot: int) -> DataFrame:
 def _verifier(width: int, percent: int):
     def verify(group: pd.DataFrame) -> pd.DataFrame:
         shingle, found = Shingler(width), []
-        for _, cell in group.drop_duplicates(["rep"]).groupby("cell", sort=False):
-            reps, sets = cell["rep"].to_numpy(), [shingle(t) for t in cell["text"]]
+        for _, cell in group.drop_duplicates(["rep", "tkey", "cell"]).groupby("cell", sort=False):
+            keys, sets = cell["k1"].to_numpy(), [shingle(t) for t in cell["text"]]
             across = cell["i"].iloc[0] != cell["j"].iloc[0]
             side = (cell["page"] != cell["i"]).to_numpy().astype(int) if across else None
-            found += [(int(reps[a]), int(reps[b])) for a, b in connect(sets, percent, side)]
+            found += [(int(keys[a]), int(keys[b])) for a, b in connect(sets, percent, side)]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return verify
 
 
 def links(docs: DataFrame, sketched: DataFrame, width: int, percent: int, hot: int, page: int) -> DataFrame:
-    """Verified links (a, b) between representatives of different sets; they connect all that links connect."""
+    """Verified links (a, b) between the k1 of different sets; they connect all that links connect."""
     spark = docs.sparkSession
     classes = sketched.where("n > 0 and doc_id is not null").groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "tkey")).alias("r"))
     member = materialize(classes.select("k1", "r.*").join(cells(sketched, percent, hot), "k1"), "ngram-members")
@@ -271,7 +272,7 @@ def links(docs: DataFrame, sketched: DataFrame, width: int, percent: int, hot: i
     member = member.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pages") - 1)))
     one = F.col("pages") == 1
     member = member.select(
-        "doc_id", "tkey", "cell", "page", F.when(one, F.pmod(F.xxhash64("cell"), F.lit(units))).otherwise(F.col("cell")).alias("unit"),
+        "doc_id", "tkey", "k1", "cell", "page", F.when(one, F.pmod(F.xxhash64("cell"), F.lit(units))).otherwise(F.col("cell")).alias("unit"),
         F.when(one, F.lit(-1)).otherwise(F.least("page", "other")).alias("i"), F.when(one, F.lit(-1)).otherwise(F.greatest("page", "other")).alias("j"),
     )
     texts = docs.select("doc_id", F.xxhash64("text").alias("tkey"), "text")
@@ -285,8 +286,9 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80, hot: int = 16, page
         raise ValueError("percent must be 70 to 100")
     sketched = sketch(docs.select("doc_id", "text"), width, percent)
     reached = components(links(docs.select("doc_id", "text"), sketched, width, percent, hot, page), "ngram-components")
-    classes = sketched.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("node")).join(reached, "node", "left")
-    classes = classes.select("k1", "k2", F.coalesce("component", "node").alias("component_id"), F.lit(True).alias("any"))
+    classes = sketched.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("own")).join(reached.withColumnRenamed("node", "k1"), "k1", "left")
+    lowest = classes.where("component is not null").groupBy("component").agg(F.min("own").alias("lowest"))
+    classes = classes.join(lowest, "component", "left").select("k1", "k2", F.coalesce("lowest", "own").alias("component_id"), F.lit(True).alias("any"))
     plain = sketched.select("doc_id", "tkey", "n", "k1", "k2").join(classes, ["k1", "k2"], "left")
     return plain.select("doc_id", "tkey", F.col("n").alias("n_shingles"), F.when(F.col("any"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 

@@ -4,6 +4,7 @@ import random
 
 import frames
 import numpy as np
+import pandas as pd
 import pytest
 
 from tallygrid.llm import decontaminate, graph, ngram_join
@@ -59,6 +60,16 @@ def test_join_matches_brute_force(spark, width, percent, hot, page):
     assert [(r["n_shingles"], r["component_id"]) for r in got] == plain_components(texts, width, percent)
 
 
+def test_one_doc_id_on_two_texts(spark):
+    one, two = (" ".join(f"{w}{i}" for i in range(60)) for w in "ab")
+    rows = [(5, one), (1, one + " end"), (5, two), (2, two + " end"), (2, two + " end")]
+    got = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 4, 85).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(1, 1), (2, 2), (2, 2), (5, 1), (5, 2)]
+    columns = ["rep", "tkey", "k1", "cell", "i", "j", "page", "text"]
+    group = pd.DataFrame([(d, i, 10 + i, i // 2, -1, -1, 0, t) for i, (d, t) in enumerate(rows[:4])], columns=columns)
+    assert sorted(map(sorted, ngram_join._verifier(4, 85)(group).to_numpy().tolist())) == [[10, 11], [12, 13]]
+
+
 def test_linked_sets_share_enough_digests():
     rng = np.random.default_rng(5)
     table = ngram_join.schemes(85)
