@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    decontaminate, html_paths, language_id, line_dedup, ngram_join, quality_neighbours, quality_rules, secrets, sentence_pieces, url_rules,
+    decontaminate, html_paths, language_id, line_dedup, merkle, ngram_join, quality_neighbours, quality_rules, secrets, sentence_pieces, url_rules, warc,
 )
+from ..session import scratch_path
 from .common import crc_mod, table
 
 
@@ -67,11 +68,30 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "ids", "parity", "round_trip")
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    tampered = F.when(crc_mod("doc_id", 2) == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    proved = merkle.manifest(docs, "source", "doc_id", ["doc_id", "source", "lang", "n_chars", "text"], {"text": tampered})
+    digests = {"leaf": "leaf", "subroot": "subroot", "root": "root", "folded_root": "folded_root"}
+    shown = [F.lower(F.hex(c)).alias(name) for name, c in digests.items()]
+    proof = F.lower(F.hex(merkle.proof_digest("path"))).alias("proof_sha256")
+    return proved.select("doc_id", *shown, proof, (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op12_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages, path = table(spark, folder, "pages"), scratch_path(spark, "warc")
+    warc.write(pages, path)
+    back, kind = warc.read(spark, path), dict(pages.dtypes)["page_id"]
+    ids = {"page_id": F.col("page").cast(kind), "refers_to": F.col("refers_to").cast(kind)}
+    return back.withColumns(ids).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_html_extraction, op2_quality_rules, op3_benchmark_decontamination, op4_quality_classifier, op5_url_filters,
-        op6_line_dedup, op7_secret_scans, op8_language_id, op9_ngram_jaccard_join, op10_sentencepiece,
+        op6_line_dedup, op7_secret_scans, op8_language_id, op9_ngram_jaccard_join, op10_sentencepiece, op11_merkle_manifest,
+        op12_warc,
     )
 }
 _WHITE_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
