@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    decontaminate, html_paths, language_id, line_dedup, merkle, ngram_join, quality_neighbours, quality_rules, secrets, sentence_pieces, url_rules, warc,
+    decontaminate, html_paths, language_id, line_dedup, merkle, ngram_join, prefix_trie, quality_neighbours, quality_rules, secrets, sentence_pieces, url_rules, warc,
 )
 from ..session import scratch_path
 from .common import crc_mod, table
@@ -86,12 +86,16 @@ def op12_warc(spark: SparkSession, folder: str) -> DataFrame:
     return back.withColumns(ids).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
+def op13_conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.build(table(spark, folder, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_html_extraction, op2_quality_rules, op3_benchmark_decontamination, op4_quality_classifier, op5_url_filters,
         op6_line_dedup, op7_secret_scans, op8_language_id, op9_ngram_jaccard_join, op10_sentencepiece, op11_merkle_manifest,
-        op12_warc,
+        op12_warc, op13_conversation_prefix_trie,
     )
 }
 _WHITE_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
