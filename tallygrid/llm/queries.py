@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    decontaminate, html_paths, language_id, line_dedup, merkle, ngram_join, prefix_trie, quality_neighbours, quality_rules, secrets, sentence_pieces, url_rules, warc,
+    decontaminate, html_paths, language_id, line_dedup, merkle, ngram_join, prefix_trie, quality_neighbours, quality_rules, record_sql, secrets, sentence_pieces, url_rules, warc,
 )
 from ..session import scratch_path
 from .common import crc_mod, table
@@ -138,4 +138,7 @@ select d.doc_id, coalesce(n.n, 0) as n_shingles, c.component_id
 from documents d left join n using (doc_id) join (select node as doc_id, min(seen) as component_id from r group by node) c using (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op3_benchmark_decontamination": _OP3, "op6_line_dedup": _OP6, "op9_ngram_jaccard_join": _OP9}
+ORACLE: dict[str, str] = {
+    "op3_benchmark_decontamination": _OP3, "op6_line_dedup": _OP6, "op9_ngram_jaccard_join": _OP9,
+    "op11_merkle_manifest": record_sql.OP11, "op12_warc": record_sql.OP12, "op13_conversation_prefix_trie": record_sql.OP13,
+}
