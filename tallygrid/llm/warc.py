@@ -28,7 +28,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -214,7 +214,7 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
 
 _RECORDS = pa.schema([
     ("record", pa.string()), ("record_type", pa.string()), ("page", pa.string()), ("url", pa.string()), ("refers_record", pa.string()),
-    ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("intact", pa.bool_()),
+    ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("claimed", pa.string()), ("intact", pa.bool_()),
 ])
 
 
@@ -247,19 +247,18 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
     A revisit has its response's size and digest; it is intact if that is and has the digest claimed.
     """
-    kinds = "record string, record_type string, page string, url string, refers_record string, payload_bytes long, payload_digest string, intact boolean"
+    kinds = "record string, record_type string, page string, url string, refers_record string, payload_bytes long, payload_digest string, claimed string, intact boolean"
     records = read_chunks(spark, path).repartition("record").sortWithinPartitions("record", "chunk").mapInArrow(_stream, kinds)
     records = materialize(records, "warc-records")
     heads = records.where("record_type = 'response'").select(
         F.col("record").alias("refers_record"), F.col("page").alias("refers_to"), F.col("payload_bytes").alias("_bytes"), F.col("payload_digest").alias("_digest"), F.col("intact").alias("_intact"),
     ).dropDuplicates(["refers_record"])
-    revisit = F.col("record_type") == "revisit"
-
-    def of(own: Column | str, other: str) -> Column:
-        return F.when(revisit, F.col(other)).otherwise(F.col(own) if isinstance(own, str) else own)
-
-    whole = records.join(heads, "refers_record", "left")
-    return whole.select(
-        "record", "record_type", "page", "url", of("payload_bytes", "_bytes").alias("payload_bytes"), of("payload_digest", "_digest").alias("payload_digest"),
-        "refers_to", (F.col("intact") & F.coalesce(of(F.lit(True), "_intact"), F.lit(False))).alias("intact"),
-    )
+    shown = ["record", "record_type", "page", "url", "payload_bytes", "payload_digest", "refers_to", "intact"]
+    own = records.where("record_type <> 'revisit'").withColumn("refers_to", F.lit(None).cast("string")).select(*shown)
+    # Records without a reference stay out of the join, where their null keys would meet in one task.
+    again = records.where("record_type = 'revisit'").drop("payload_bytes", "payload_digest").join(heads, "refers_record", "left")
+    again = again.withColumns({
+        "payload_bytes": F.col("_bytes"), "payload_digest": F.col("_digest"),
+        "intact": F.coalesce(F.col("intact") & F.col("_intact") & (F.col("_digest") == F.col("claimed")), F.lit(False)),
+    })
+    return own.unionByName(again.select(*shown))
