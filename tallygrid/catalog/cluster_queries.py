@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import behaviour as be
 from ..operators import clustering as cl
+from ..operators import kmeans_sweep as sweeps
 from ..operators.hash_clusters import stable_bucket
 from ..plans import serving as sv
 from ..session import materialize
@@ -49,14 +50,29 @@ def k4(d):
     return rows.groupBy("cargo", "turno", F.size("tokens").alias("qtd_tokens")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("K5_kmeans_elbow", "select unnest([2, 3, 4]) as k, true as custo_nao_cresce, true as escolhido_no_intervalo from (select count(*) from sector_base)")
+_TOKENS = ", ".join([f"case when {ok(c)} then {c} else '' end" for c in ("regiao", "cargo", "turno", *DIMS)])
+
+
+def elbow(d: Data):
+    rows = cl.sector_cluster_base(d.base).withColumn("tokens", cl.tokens(cl.voter_columns()))
+    numbered = materialize(rows.select("tokens", sweeps.token_numbers("tokens", 2048).alias("numbers")), "numbers")
+    return numbered, *cl.kmeans_elbow(numbered, 2, 8)
+
+
+@query("K5_kmeans_elbow", f"""select count(*) as linhas, count(distinct ({_TOKENS}, q, case when pa is null then 0 when pa < 0.12 then 1 when pa <= 0.25 then 2 else 3 end,
+  case when pc is null then 0 when pc < 0.65 then 1 when pc <= 0.82 then 2 else 3 end, municipio_grupo)) as combinacoes, 7 as qtd_k, true as custo_cai from sector_base""")
 def k5(d):
-    rows = materialize(cl.token_features(sectors(d), cl.voter_columns(), 256).select("features"), "features")
-    _, best, costs = cl.kmeans_elbow(rows, 2, 4, max_iter=8)
-    # Costs have no exact expectation; that more clusters never cost more (within a local optimum's slack) has.
-    least = [min(c for _, c in costs[: i + 1]) for i in range(len(costs))]
-    rows = [(k, c <= 1.05 * low, 2 <= best <= 4) for (k, c), low in zip(costs, least)]
-    return d.spark.createDataFrame(rows, "k int, custo_nao_cresce boolean, escolhido_no_intervalo boolean")
+    """Rows, distinct token sets and fits; that each further cluster lowers the cost."""
+    numbered, _, _, costs = elbow(d)
+    falls = all(b < a for (_, a), (_, b) in zip(costs, costs[1:], strict=False))
+    return numbered.agg(F.count(F.lit(1)).alias("linhas"), F.countDistinct("tokens").alias("combinacoes")).withColumns({"qtd_k": F.lit(len(costs)), "custo_cai": F.lit(falls)})
+
+
+@query("K5_kmeans_costs")
+def k5c(d):
+    """(k, custo, escolhido) of the operator's own range; checked against a plain version in the tests."""
+    _, _, best, costs = elbow(d)
+    return d.spark.createDataFrame([(k, float(c), k == best) for k, c in costs], "k int, custo double, escolhido boolean")
 
 
 _IN_RANGE = "true as no_intervalo"
@@ -68,10 +84,18 @@ def assigned(out: DataFrame, *sums: str) -> DataFrame:
     return out.agg(F.count(F.lit(1)).alias("linhas"), F.count("cluster").alias("atribuidas"), inside, *[F.sum(c).alias(c) for c in sums])
 
 
+def by_cluster(out: DataFrame, votes: str) -> DataFrame:
+    return out.groupBy("cluster", F.col("k_escolhido").alias("k")).agg(F.count(F.lit(1)).alias("n"), F.sum(votes).alias("votos"))
+
+
 @query("K6_kmeans_sample_train", f"select count(*) as linhas, count(*) as atribuidas, {_IN_RANGE}, cast(sum(votos_total_setor) as double) as votos_total_setor from sector_base where " + " or ".join(ok(x) for x in DIMS))
 def k6(d):
-    out = cl.cluster_sectors(sectors(d), True, 2, 3, train_limit=1000)
-    return assigned(out, "votos_total_setor")
+    return assigned(cl.cluster_sectors(sectors(d), True, train_limit=50_000), "votos_total_setor")
+
+
+@query("K6_sector_clusters")
+def k6c(d):
+    return by_cluster(cl.cluster_sectors(sectors(d)), "votos_total_setor")
 
 
 _SOME = " or ".join(ok(x) for x in DIMS)
@@ -80,19 +104,29 @@ _LED = f"(select {CONTEST}, {DIM_LIST}, max(v) as v from (select {CONTEST}, {DIM
 
 @query("K7_cluster_profiles", f"select count(*) as linhas, count(*) as atribuidas, {_IN_RANGE}, cast(sum(v) as double) as votos_entidade_dominante from {_LED}")
 def k7(d):
-    return assigned(cl.cluster_profiles(d.base, True, high=3), "votos_entidade_dominante")
+    return assigned(cl.cluster_profiles(d.base, True), "votos_entidade_dominante")
+
+
+@query("K7_cluster_profiles_clusters")
+def k7c(d):
+    return by_cluster(cl.cluster_profiles(d.base, True), "votos_entidade_dominante")
 
 
 @query("K7_cluster_profiles_voters_only", f"select count(*) as linhas, count(*) as atribuidas, {_IN_RANGE} from {_LED}")
 def k7v(d):
-    return assigned(cl.cluster_profiles(d.base, False, high=3))
+    return assigned(cl.cluster_profiles(d.base, False))
 
 
 @query("K8_cluster_behaviour", f"""
   select count(*) as linhas, count(*) as atribuidas, {_IN_RANGE}, cast(sum(v) as double) as votos
   from (select ano, cargo, turno, uf, cd_municipio, nm_municipio, zona, secao, {DIM_LIST}, sum(votos) as v from panel where {_SOME} group by all)""")
 def k8(d):
-    return assigned(cl.cluster_behaviour(be.behaviour_panel(d.base), high=3), "votos")
+    return assigned(cl.cluster_behaviour(be.behaviour_panel(d.base)), "votos")
+
+
+@query("K8_cluster_behaviour_clusters")
+def k8c(d):
+    return by_cluster(cl.cluster_behaviour(be.behaviour_panel(d.base)), "votos")
 
 
 @query("K10_cap_categories", "select case when candidato_vencedor_setor in (select candidato_vencedor_setor from sector_base group by 1 order by count(*) desc, candidato_vencedor_setor limit 20) then candidato_vencedor_setor else '' end as v, count(*) as n from sector_base group by 1")

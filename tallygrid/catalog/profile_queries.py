@@ -74,7 +74,9 @@ def p5(d):
     return st.numeric_stats(d.table("lineitem"), ["l_quantity", "l_discount"])
 
 
-@query("P5_numeric_stats_prices")
+@query("P5_numeric_stats_prices", " union all ".join(
+    f"select '{c}' as coluna, count({c}) as n, {r6(f'avg({c})')} as media, {r6(f'stddev_samp({c})')} as desvio, {r6(f'min({c})')} as min, {r6(f'max({c})')} as max, {r6(f'sum({c})')} as soma, "
+    + ", ".join(f"{r6(f'quantile_cont({c}, {p})')} as {n}" for n, p in _Q.items()) + " from lineitem" for c in NUMBERS))
 def p5b(d):
     return st.numeric_stats(d.table("lineitem"), NUMBERS)
 
@@ -95,7 +97,15 @@ def p7(d):
     return st.spearman_pairs(d.table("lineitem"), _SP)
 
 
-@query("P8_kendall_pairs")
+# One column has few values: for each of them, a running count in the order of the other says how many rows lie below.
+@query("P8_kendall_pairs", f"""
+  with k as (select l_quantity as x, l_extendedprice as y, count(*) as n from lineitem group by all),
+  v as (select q, k.x, k.n, sum(case when k.x < q then k.n else 0 end) over (partition by q order by k.y groups between unbounded preceding and 1 preceding) as below from k, (select distinct x as q from k)),
+  c as (select sum(n * coalesce(below, 0)) as c from v where x = q), t as (select sum(n) as n, sum(n * (n - 1) / 2) as t from k),
+  tx as (select sum(n * (n - 1) / 2) as t from (select sum(n) as n from k group by x)), ty as (select sum(n * (n - 1) / 2) as t from (select sum(n) as n from k group by y)),
+  z as (select t.n as n, cast(c.c as double) as c, cast(t.n as double) * (t.n - 1) / 2 as p, tx.t as tx, ty.t as ty, t.t as txy from c, t, tx, ty)
+  select 'l_quantity' as coluna_1, 'l_extendedprice' as coluna_2, cast(n as bigint) as n, c as concordantes, cast(p - tx - ty + txy - c as double) as discordantes,
+    {r6('(c - (p - tx - ty + txy - c)) / sqrt((p - tx) * (p - ty))')} as kendall from z""")
 def p8(d):
     return st.kendall_pairs(d.table("lineitem"), ["l_quantity", "l_extendedprice"])
 
@@ -110,7 +120,7 @@ cte("kendall_cells", "select l_discount as x, l_quantity as y, count(*) as n fro
   select 'l_discount' as coluna_1, 'l_quantity' as coluna_2, cast(t.n as bigint) as n, cast(c as double) as concordantes, cast(d as double) as discordantes,
     {r6('(c - d) / sqrt((cast(t.n as double) * (t.n - 1) / 2 - tx.t) * (cast(t.n as double) * (t.n - 1) / 2 - ty.t))')} as kendall from cd, t, tx, ty""")
 def p8d(d):
-    return st.kendall_pairs(d.table("lineitem"), ["l_discount", "l_quantity"], buckets=8)
+    return st.kendall_pairs(d.table("lineitem"), ["l_discount", "l_quantity"], rows_per_range=500)
 
 
 def cramer_sql(a, b, source):

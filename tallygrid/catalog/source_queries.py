@@ -60,6 +60,29 @@ def i1b(d):
     return files.read_json_records(d.spark, path, shape="object").groupBy("PRIORIDADE").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("I1_read_json_arrays", "select o_orderpriority as \"PRIORIDADE\", count(*) as n, cast(sum(o_orderkey) as bigint) as chaves from orders group by 1")
+def i1c(d):
+    """Four documents, each one list over many lines' worth of text, read by ranges."""
+    path = scratch_path(d.spark, "vetor_json")
+    orders = d.table("orders")
+    record = F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("chave"), F.struct(F.col("o_orderpriority").alias("prioridade"), F.lit('}{"[').alias("nota")).alias("dados"), F.col("o_orderpriority").alias("prioridade")))
+    line = orders.select((F.col("o_orderkey") % 4).alias("g"), F.lit(1).alias("k"), F.concat(record, F.lit(",")).alias("value"))
+    ends = line.select("g").distinct().select("g", F.explode(F.expr("array(struct(0 as k, '[' as value), struct(2 as k, 'null]' as value))")).alias("e")).select("g", "e.k", "e.value")
+    line.unionByName(ends).repartition("g").sortWithinPartitions("g", "k").select("g", "value").write.partitionBy("g").text(path)
+    out = files.read_json_records(d.spark, path, shape="array")
+    return out.groupBy("PRIORIDADE").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("CHAVE").cast("long")).alias("chaves"))
+
+
+@query("I2_unreadable_parquet", "select case when length(o_orderpriority) < 6 then 'curto' else 'sem_fim' end as motivo, count(distinct o_orderpriority) as n from orders group by 1")
+def i2p(d):
+    """Good Parquet files beside text that only begins like one."""
+    root = scratch_path(d.spark, "misto")
+    orders = d.table("orders")
+    orders.write.parquet(f"{root}/bons")
+    orders.select("o_orderpriority").distinct().select(F.concat(F.lit("PAR1 "), "o_orderpriority").alias("value"), F.col("o_orderpriority").alias("p")).write.partitionBy("p").option("compression", "none").text(f"{root}/maus")
+    return files.unreadable_parquet(d.spark, root, pattern="*.{parquet,txt}").groupBy("motivo").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("I2_quarantine_bad_records", "select 'bons' as grupo, count(*) as n from results union all select 'json_invalido', 2 * count(*) from customer")
 def i2(d):
     good, bad = files.quarantine_bad_records(d.spark, written_lines(d))
@@ -219,6 +242,7 @@ def i22(d):
     path = scratch_path(d.spark, "previa")
     tables.csv_preview_sink(d.table("orders"), path, 100)
     out = d.spark.read.options(header="true", sep=";").csv(path)
+    assert d.spark.read.format("binaryFile").load(path).select(F.substring("content", 1, 3)).first()[0] == tables.BYTE_ORDER_MARK.encode()
     return out.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("_csv_preview_observacao").alias("notas"))
 
 

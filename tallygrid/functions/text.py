@@ -120,6 +120,34 @@ def first_year(c: Column | str) -> Column:
     return F.coalesce(F.get(years_in(c), F.lit(0)), F.lit(""))
 
 
+_UUID = r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
+_HEX_RUN = r"(?=[0-9a-fA-F]{8})[0-9a-fA-F]*[0-9][a-fA-F][0-9a-fA-F]*"
+
+
+_YEAR = r"(?<!\d)((?:19|20)\d{2})(?!\d)"
+
+
+def _without_random(path: Column | str) -> Column:
+    """A path without UUIDs and hex runs, the random parts of written files' names."""
+    return F.regexp_replace(F.regexp_replace(_trimmed(path), _UUID, ""), _HEX_RUN, "")
+
+
+def path_years(path: Column | str) -> Column:
+    """Distinct years 1900-2099 that stand by themselves in a path, ascending."""
+    return F.array_sort(F.array_distinct(F.regexp_extract_all(_without_random(path), F.lit(_YEAR), F.lit(1))))
+
+
+def path_year(path: Column | str) -> Column:
+    """The first year that stands by itself in a path, folders before the file name; '' without any.
+
+    Digits inside longer numbers, UUIDs and hex runs are no years.
+    """
+    parts = F.split(_without_random(path), r"[/\\]")
+    folders = F.array_join(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))), "/")
+    found = [F.nullif(F.regexp_extract(x, _YEAR, 1), F.lit("")) for x in (folders, F.element_at(parts, -1))]
+    return F.coalesce(*found, F.lit(""))
+
+
 def profile_combo(spec: Spec = ELECTORAL) -> Column:
     """'label=value; label=value', skipping dimensions without a valid value."""
     parts = [
@@ -154,7 +182,7 @@ def correlation_year(content: Column | str, file_name: Column | str) -> Column:
     """Year in the content, else in the file name, else a marker."""
     return F.coalesce(
         F.nullif(first_year(content), F.lit("")),
-        F.nullif(first_year(file_name), F.lit("")),
+        F.nullif(path_year(file_name), F.lit("")),
         F.lit("ano_desconhecido"),
     )
 

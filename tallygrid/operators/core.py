@@ -193,21 +193,6 @@ def period_pairs(df: DataFrame, keys: Sequence[str], period: str, value: str) ->
     return left.join(right, list(keys)).filter(F.col("p1") < F.col("p2"))
 
 
-def pair_correlations(pairs: DataFrame, scope: Sequence[str], min_rows: int) -> DataFrame:
-    """Pearson and Spearman of (v1, v2) per scope; at least `min_rows` pairs."""
-    pairs = pairs.dropna(subset=["v1", "v2"])
-    ranked = average_rank(average_rank(pairs, scope, "v1", "r1"), scope, "v2", "r2")
-    return (
-        ranked.groupBy(*scope)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            safe_corr("v1", "v2").alias("pearson"),
-            safe_corr("r1", "r2").alias("spearman"),
-        )
-        .filter(F.col("n") >= min_rows)
-    )
-
-
 def safe_corr(a: str, b: str) -> Column:
     """Correlation, null when either side is constant."""
     varies = (F.min(a) < F.max(a)) & (F.min(b) < F.max(b))

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from ..functions.labels import field_label
 from ..functions.numbers import ratio
 from ..functions.text import (
-    correlation_year, entity_label, first_year, has_text, safe_text, section_codes, years_in,
+    correlation_year, entity_label, has_text, path_year, path_years, safe_text, section_codes,
 )
 from ..model import ELECTORAL, Spec
-from .core import distinct_text, pair_correlations, period_pairs, share_within, sums, text_list, top_ranked, unpivot
+from .core import distinct_text, period_pairs, share_within, sums, text_list, top_ranked, unpivot
+from .order_statistics import pair_correlations
 
 SECTOR_KEYS = [
     "ano_correlacao", "uf", "cd_municipio", "nm_municipio", "zona", "secao", "local_votacao", "bairro",
@@ -41,7 +42,7 @@ def annotate_gold(gold: DataFrame, metadata: DataFrame, spec: Spec = ELECTORAL)
     described = ["dominio_documento", "assunto_documento", "tipo_arquivo_json"]
     meta = metadata.groupBy("arquivo_origem").agg(*[F.max(c).alias(c) for c in described])
     out = gold.join(meta, "arquivo_origem", "left").withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in described})
-    out = out.withColumns({"ano_conteudo_original": safe_text(spec.period), "ano_nome_arquivo": first_year("arquivo_origem")})
+    out = out.withColumns({"ano_conteudo_original": safe_text(spec.period), "ano_nome_arquivo": path_year("arquivo_origem")})
     out = out.withColumn("ano_correlacao", correlation_year(spec.period, "ano_nome_arquivo"))
     stem = F.regexp_replace(F.regexp_extract("arquivo_origem", r"([^/\\]+)$", 1), r"\.[^.]*$", "")
     text = F.lower(F.concat_ws(" ", "dominio_documento", "assunto_documento", "arquivo_origem"))
@@ -264,7 +265,7 @@ def file_inventory(gold: DataFrame, spec: Spec = ELECTORAL) -> DataFrame:
     )
     years = distinct_text(rows.withColumn("__t", F.col("__y").cast("string")), [source], "__t", "anos_detectados_conteudo", separator=", ")
     offices = distinct_text(rows, [source], spec.contest[0], "cargos", separator=", ")
-    named = years_in(source)
+    named = path_years(source)
     out = out.join(years, source, "left").join(offices, source, "left")
     return out.select(
         source,

@@ -1,80 +1,100 @@
 """Exact ranks and quantiles over groups of any size.
 
 A plain window would sort a whole group in one task.  Here values are first counted (ties
-collapse, so a value held by a third of the rows becomes one row), then split into buckets
-of similar weight, ranked inside each bucket, and shifted by the rows of the buckets below.
-The bucket boundaries are a bounded list of doubles fetched once as literals: every branch
-of the plan, and every retried task, sees the same buckets.
+collapse, so a value held by a third of the rows becomes one row), then dealt into ranges of
+(group, value) by Spark's range partitioner, ranked inside each range, and shifted by the rows of
+the group's earlier ranges.  The number of ranges follows the counted rows, and a group gets as many
+of them as it has rows, so a range never holds many more rows than `ROWS_PER_RANGE`, whatever the
+table; one that fits is one range and costs no more than a plain window.  Ranges are written to the
+shared folder: every branch of the plan, and every retried task, sees the same ones.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .core import with_totals
+from ..session import materialize
+from .core import join_null_safe, order_by_weight, safe_corr, with_totals
 
-MAX_BUCKETS = 256
+ROWS_PER_RANGE = 500_000
 
 
-def boundaries(df: DataFrame, value: str, buckets: int = MAX_BUCKETS) -> list[float]:
-    """At most `buckets - 1` cut points from a one-pass sketch (runs a job)."""
-    probabilities = [i / buckets for i in range(1, buckets)]
-    cuts = df.select(F.col(value).cast("double").alias("v")).approxQuantile("v", probabilities, 0.5 / buckets)
-    return sorted(set(cuts))
+def in_ranges(df: DataFrame, keys: Sequence[str | Column], out: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """`df`, written to the shared folder, with the number of the range of `keys` that each row falls in; equal keys share one."""
+    df = materialize(df, "ranges")
+    ranges = -(-df.count() // rows_per_range)  # counted from the files' footers
+    if ranges <= 1:
+        return df.withColumn(out, F.lit(0))
+    return materialize(df.repartitionByRange(ranges, *keys).withColumn(out, F.spark_partition_id()), "ranges")
 
 
-def with_bucket(df: DataFrame, value: str, cuts: Sequence[float], out: str) -> DataFrame:
-    """Adds how many cut points are <= value (binary search on the JVM side)."""
-    if not cuts:
-        return df.withColumn(out, F.lit(0))
-    splits = [float("-inf"), *cuts, float("inf")]
-    ready = df.withColumn("__v", F.col(value).cast("double"))
-    placed = Bucketizer(splits=splits, inputCol="__v", outputCol="__bucket").transform(ready)
-    return placed.withColumn(out, F.col("__bucket").cast("int")).drop("__v", "__bucket")
+def before_ranges(placed: DataFrame, scope: Sequence[str], out: str, total: str, **sums: Column) -> DataFrame:
+    """Per group and range: sums over the group's earlier ranges, and over all of them as `total` (of the first sum).
+
+    A group has one row per range here.
+    """
+    totals = placed.groupBy(*scope, out).agg(*[F.sum(c).alias(f"__{n}") for n, c in sums.items()])
+    group = Window.partitionBy(*(scope or [F.lit(0)]))
+    before = group.orderBy(out).rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(*scope, out, *[F.coalesce(F.sum(f"__{n}").over(before), F.lit(0)).alias(n) for n in sums], F.sum(f"__{next(iter(sums))}").over(group).alias(total))
 
 
 def value_positions(
-    df: DataFrame, scope: Sequence[str], value: str, weight: Column | None = None, buckets: int = MAX_BUCKETS
+    df: DataFrame, scope: Sequence[str], value: str, weight: Column | None = None, rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
     """Per (scope, value): `n` rows holding it, `below` rows smaller, `rows` in the scope."""
     counted = df.filter(F.col(value).isNotNull()).groupBy(*scope, value).agg(
         F.sum(F.lit(1) if weight is None else weight).cast("long").alias("n")
     )
-    cuts = boundaries(counted, value, buckets)
-    placed = with_bucket(counted, value, cuts, "__b")
-    totals = placed.groupBy(*scope, "__b").agg(F.sum("n").alias("__bn"))
-    # At most `buckets` rows per scope in this window.
-    over_buckets = Window.partitionBy(*(scope or [F.lit(0)]))
-    before = over_buckets.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *scope,
-        "__b",
-        F.coalesce(F.sum("__bn").over(before), F.lit(0)).alias("__offset"),
-        F.sum("__bn").over(over_buckets).alias("rows"),
-    )
+    placed = in_ranges(counted, [*scope, value], "__b", rows_per_range)
+    offsets = before_ranges(placed, scope, "__b", "rows", __offset=F.col("n"))
     inside = Window.partitionBy(*scope, "__b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     ranked = placed.withColumn("__inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    return ranked.join(offsets, [*scope, "__b"]).select(
+    return join_null_safe(ranked, offsets, [*scope, "__b"]).select(
         *scope, value, "n", (F.col("__offset") + F.col("__inside")).alias("below"), "rows"
     )
 
 
-def average_rank_spread(df: DataFrame, scope: Sequence[str], value: str, out: str, buckets: int = MAX_BUCKETS) -> DataFrame:
+def average_rank_spread(df: DataFrame, scope: Sequence[str], value: str, out: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Average-tie rank of every row for groups of any size."""
-    positions = value_positions(df, scope, value, buckets=buckets)
+    positions = value_positions(df, scope, value, rows_per_range=rows_per_range)
     ranks = positions.select(*scope, value, (F.col("below") + (F.col("n") + 1) / 2).alias(out))
     return df.join(ranks, [*scope, value])
 
 
+def ranked_spread(df: DataFrame, scope: Sequence[str], weight: str | Column, ties: Sequence[str], out: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """Row number per group, largest weight first, for groups of any size; `top_ranked` without a cut."""
+    order = order_by_weight(weight, ties)
+    placed = in_ranges(df, [*scope, *order], "__b", rows_per_range)
+    offsets = before_ranges(placed, scope, "__b", "__rows", __offset=F.lit(1))
+    ranked = placed.withColumn("__inside", F.row_number().over(Window.partitionBy(*scope, "__b").orderBy(*order)))
+    ranked = join_null_safe(ranked, offsets, [*scope, "__b"])
+    return ranked.withColumn(out, (F.col("__offset") + F.col("__inside")).cast("long")).drop("__b", "__inside", "__offset", "__rows")
+
+
+def pair_correlations(pairs: DataFrame, scope: Sequence[str], min_rows: int, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """Pearson and Spearman of (v1, v2) per scope; at least `min_rows` pairs. Groups may be of any size."""
+    pairs = materialize(pairs.dropna(subset=["v1", "v2"]).select(*scope, "v1", "v2"), "pairs")
+    ranked = average_rank_spread(average_rank_spread(pairs, scope, "v1", "r1", rows_per_range), scope, "v2", "r2", rows_per_range)
+    return (
+        ranked.groupBy(*scope)
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            safe_corr("v1", "v2").alias("pearson"),
+            safe_corr("r1", "r2").alias("spearman"),
+        )
+        .filter(F.col("n") >= min_rows)
+    )
+
+
 def exact_quantiles(
-    df: DataFrame, scope: Sequence[str], value: str, wanted: dict[str, float], buckets: int = MAX_BUCKETS
+    df: DataFrame, scope: Sequence[str], value: str, wanted: dict[str, float], rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
     """Linearly interpolated quantiles, one row per scope."""
-    positions = value_positions(df, scope, value, buckets=buckets)
+    positions = value_positions(df, scope, value, rows_per_range=rows_per_range)
     last = F.col("rows") - 1
 
     def value_at(position: Column) -> Column:
@@ -99,29 +119,17 @@ def exact_quantiles(
     )
 
 
-def row_positions(df: DataFrame, value: str, tie: Column, out: str, buckets: int = MAX_BUCKETS) -> DataFrame:
-    """Exact row number over the whole table, ordered by (value, md5(tie)).
+def row_positions(df: DataFrame, value: str, tie: Column, out: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """Exact row number over the whole table, ordered by (value, md5(tie)); null for a null value.
 
-    Rows sharing a heavy value are split by the leading digits of the tie digest, so even
-    one value held by most rows is ranked by many tasks.
+    Ranges are cut by value and digest, so even one value held by most rows is ranked by many tasks.
     """
     ready = df.withColumn("__t", F.md5(tie.cast("string")))
-    cuts = boundaries(ready.filter(F.col(value).isNotNull()), value, buckets)
-    on_cut = F.col(value).isin([F.lit(c) for c in cuts]) if cuts else F.lit(False)
-    placed = with_bucket(ready.filter(F.col(value).isNotNull()), value, cuts, "__b").withColumns(
-        {
-            # Values equal to a cut point get a bucket of their own, split by digest.
-            "__b": F.col("__b") * 2 - F.when(on_cut, F.lit(1)).otherwise(F.lit(0)),
-            "__s": F.when(on_cut, F.substring("__t", 1, 2)).otherwise(F.lit("")),
-        }
-    )
-    # At most 256 rows per heavy value plus one per bucket reach this window.
-    totals = placed.groupBy("__b", "__s").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(F.lit(0)).orderBy("__b", "__s").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("__b", "__s", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
-    inside = Window.partitionBy("__b", "__s").orderBy(value, "__t")
+    placed = in_ranges(ready.filter(F.col(value).isNotNull()), [value, "__t"], "__b", rows_per_range)
+    offsets = before_ranges(placed, [], "__b", "__rows", __offset=F.lit(1))
+    inside = Window.partitionBy("__b").orderBy(value, "__t")
     ranked = placed.withColumn("__inside", F.row_number().over(inside))
-    ranked = ranked.join(offsets, ["__b", "__s"]).withColumn(out, F.col("__offset") + F.col("__inside"))
+    ranked = ranked.join(offsets, ["__b"]).withColumn(out, F.col("__offset") + F.col("__inside"))
     missing = ready.filter(F.col(value).isNull()).withColumn(out, F.lit(None).cast("long"))
     kept = [*df.columns, out]
     return ranked.select(*kept).unionByName(missing.select(*kept))

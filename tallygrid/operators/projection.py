@@ -90,14 +90,14 @@ def temporal_confidence(model: DataFrame, spec: Spec = ELECTORAL, min_rows: int
     """Mean |Spearman| of section shares over period pairs, one row.
 
     A pair of periods covers every section of the country, so ranks are computed in
-    buckets (spread=True); the plain window is for small inputs.
+    ranges (spread=True); the plain window is for small inputs.
     """
     keys = [*unit_columns(model, spec), "entidade"]
     pairs = period_pairs(model.filter("ano_num is not null"), keys, "ano_num", "share").dropna(subset=["v1", "v2"])
     rank = average_rank_spread if spread else average_rank
     pairs = pairs.select("p1", "p2", "v1", "v2")
     if spread:
-        # Read several times below (bucket boundaries, ranks): written once to the shared folder.
+        # Read several times below (counts, ranks): written once to the shared folder.
         pairs = materialize(pairs, "period-pairs")
     ranked = rank(rank(pairs, ["p1", "p2"], "v1", "r1"), ["p1", "p2"], "v2", "r2")
     each = ranked.groupBy("p1", "p2").agg(F.count(F.lit(1)).alias("n"), safe_corr("r1", "r2").alias("rho"))

@@ -17,8 +17,9 @@ from ..functions import bands, narrative
 from ..functions.numbers import number, ratio
 from ..functions.text import profile_combo, valid
 from ..model import ELECTORAL, Spec
+from ..session import materialize
 from .core import by_level, roll_up, share_of_total, share_within, top_ranked, with_totals
-
+from .order_statistics import ranked_spread
 
 
 def section_shares(results: DataFrame, entity: str = "partido", spec: Spec = ELECTORAL) -> DataFrame:
@@ -60,9 +61,11 @@ def profile_entity_level(parts: DataFrame, level: str, entity: str = "partido",
     entity_scope = [*contest_scope, "entidade"]
     rows = parts.filter(valid("perfil_combinado") & valid("entidade") & (F.col("votos_proxy") > 0))
     cells = roll_up(rows, level, [*spec.contest, "entidade", "perfil_combinado"], [F.sum("votos_proxy").alias("votos")], spec)
+    # Read for the entities' totals and for their profiles: the proxy is multiplied once.
+    cells = materialize(cells, "proxy-cells")
     entities = cells.groupBy(*entity_scope).agg(F.sum("votos").alias("votos_entidade_total"))
     entities = with_totals(entities, contest_scope, votos_lider=F.max("votos_entidade_total"))
-    entities = top_ranked(entities, contest_scope, F.round("votos_entidade_total", 6), ["entidade"], "rank_entidade")
+    entities = ranked_spread(entities, contest_scope, F.round("votos_entidade_total", 6), ["entidade"], "rank_entidade")
     ranked = top_ranked(cells, entity_scope, F.round("votos", 6), ["perfil_combinado"], "rank_perfil_entidade_ano", top)
     return ranked.join(entities, entity_scope).withColumns(
         {

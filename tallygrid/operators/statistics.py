@@ -5,15 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import ratio
 from ..functions.text import safe_text
-from .core import safe_corr, sums, top1, with_totals
-from .order_statistics import average_rank_spread, boundaries, exact_quantiles, with_bucket
+from ..session import materialize
+from .core import join_null_safe, safe_corr, sums, top1, with_totals
+from .order_statistics import ROWS_PER_RANGE, average_rank_spread, before_ranges, exact_quantiles, in_ranges, value_positions
 
 QUANTILES = {"p01": 0.01, "p05": 0.05, "p25": 0.25, "mediana": 0.5, "p75": 0.75, "p95": 0.95, "p99": 0.99}
 NULL_LABEL = "(nulo)"
@@ -31,14 +30,7 @@ def numeric_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.count("v").alias("n"), F.avg("v").alias("media"), F.coalesce(F.stddev_samp("v"), F.lit(0.0)).alias("desvio"),
         F.min("v").alias("min"), F.max("v").alias("max"), F.sum("v").alias("soma"),
     )
-    # Bucket boundaries are per call, so columns of different ranges are measured one by one.
-    parts = [
-        exact_quantiles(df.select(F.lit(c).alias("coluna"), F.col(c).cast("double").alias("v")), ["coluna"], "v", QUANTILES) for c in columns
-    ]
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
-    return basic.join(found, "coluna")
+    return basic.join(exact_quantiles(long, ["coluna"], "v", QUANTILES), "coluna")
 
 
 def _pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -65,102 +57,71 @@ def pearson_pairs(df: DataFrame, columns: Sequence[str], min_rows: int = 5) -> D
 
 
 def spearman_pairs(df: DataFrame, columns: Sequence[str], min_rows: int = 3) -> DataFrame:
-    """Rank correlation over complete pairs, ranks by bucket so no task sorts a column."""
+    """Rank correlation over complete pairs, ranks by range so no task sorts a column."""
     scope = ["coluna_1", "coluna_2"]
     ranked = average_rank_spread(average_rank_spread(_pairs(df, columns), scope, "x", "rx"), scope, "y", "ry")
     out = ranked.groupBy(*scope).agg(F.count(F.lit(1)).alias("n"), safe_corr("rx", "ry").alias("spearman"))
     return out.filter(F.col("n") >= min_rows).filter("spearman is not null").withColumn("abs_spearman", F.abs("spearman"))
 
 
-def _concordance(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:
-    """Weighted concordant and discordant pairs of one group, by halving on x.
+def _concordant(cells: DataFrame, level: int, rows_per_range: int) -> DataFrame:
+    """One row: pairs in which the larger y goes with the larger digit of gx at this level, equal digits above.
 
-    At every level each right half is compared with its left half through sorted prefix
-    sums, so the cost is m log^2 m.
+    Rows of a node (equal digits above) are read in the order of gy with eight running sums, one
+    for each digit: what lies below a row is the sums of the smaller digits.  Nodes of any size:
+    sums run inside ranges of (node, gy) and start from the node's earlier ranges.
     """
-    _, gx = np.unique(x, return_inverse=True)
-    _, gy = np.unique(y, return_inverse=True)
-    span = int(gy.max()) + 2
-    concordant = discordant = 0.0
-    level = 0
-    while (int(gx.max()) >> level) > 0:
-        parent, right = gx >> (level + 1), ((gx >> level) & 1).astype(bool)
-        left_key = parent[~right] * span + gy[~right]
-        order = np.argsort(left_key, kind="stable")
-        keys, prefix = left_key[order], np.concatenate([[0.0], np.cumsum(w[~right][order])])
-        base = parent[right] * span
-        start, stop = np.searchsorted(keys, base), np.searchsorted(keys, base + span - 1)
-        below = np.searchsorted(keys, base + gy[right])
-        upto = np.searchsorted(keys, base + gy[right], side="right")
-        concordant += float((w[right] * (prefix[below] - prefix[start])).sum())
-        discordant += float((w[right] * (prefix[stop] - prefix[upto])).sum())
-        level += 1
-    return concordant, discordant
-
-
-def _local_pairs(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
-    def count(frame: pd.DataFrame) -> pd.DataFrame:
-        c, d = _concordance(frame["x"].to_numpy(), frame["y"].to_numpy(), frame["n"].to_numpy(dtype=float))
-        return pd.DataFrame({"c": [c], "d": [d]})
-
-    return counted.groupBy(*keys).applyInPandas(count, "c double, d double").agg(
-        F.coalesce(F.sum("c"), F.lit(0.0)).alias("c"), F.coalesce(F.sum("d"), F.lit(0.0)).alias("d")
-    )
-
-
-def _split(counted: DataFrame, value: str, out: str, buckets: int) -> DataFrame:
-    """Bucket number; values equal to a cut point get odd numbers of their own."""
-    cuts = boundaries(counted, value, buckets)
-    on_cut = F.col(value).isin(cuts) if cuts else F.lit(False)
-    placed = with_bucket(counted, value, cuts, out)
-    return placed.withColumn(out, F.col(out) * 2 - F.when(on_cut, 1).otherwise(0))
-
-
-def kendall_pair(df: DataFrame, a: str, b: str, buckets: int = 32) -> DataFrame:
+    part = cells.select(F.shiftright("gx", 3 * (level + 1)).alias("node"), F.shiftright("gx", 3 * level).bitwiseAND(7).alias("digit"), "gy", "n")
+    part = part.groupBy("node", "gy", "digit").agg(F.sum("n").alias("n"))
+    placed = in_ranges(part, ["node", "gy"], "__b", rows_per_range)
+    held = {j: F.when(F.col("digit") == j, F.col("n")).otherwise(0) for j in range(7)}
+    offsets = before_ranges(placed, ["node"], "__b", "__rows", **{f"o{j}": h for j, h in held.items()})
+    smaller = Window.partitionBy("node", "__b").orderBy("gy").rangeBetween(Window.unboundedPreceding, -1)
+    run = placed.withColumns({f"c{j}": F.coalesce(F.sum(h).over(smaller), F.lit(0)) for j, h in held.items()})
+    run = join_null_safe(run, offsets, ["node", "__b"])
+    below = sum((F.when(F.col("digit") > j, F.col(f"c{j}") + F.col(f"o{j}")).otherwise(0) for j in held), F.lit(0))
+    exact = "decimal(19,0)"
+    return run.agg(F.coalesce(F.sum((F.col("n").cast(exact) * below.cast(exact)).cast("decimal(38,0)")), F.lit(0)).alias("c"))
+
+
+def kendall_pair(df: DataFrame, a: str, b: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Exact Kendall tau-b of two columns over the whole table, one row.
 
-    Rows are split into a grid.  Pairs in different columns and rows of the grid follow from
-    cell totals; pairs sharing a grid column or row are counted inside it and cells, counted
-    twice, are taken off once.  A value heavy enough to be a cut point fills a grid line of
-    its own, where all pairs are ties and nothing is counted.
+    Equal pairs are counted, and values replaced by their ranks.  Two rows with different x part at
+    one octal digit of the rank of x, so concordant pairs add up over the digits, each level one
+    aggregate and one pass in the order of y; the column with fewer values plays x, as that takes
+    fewer levels.  Ties, and with them the discordant pairs, follow from counts.
     """
     both = df.select(F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")).dropna()
-    counted = both.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
-    placed = _split(_split(counted, "x", "bx", buckets), "y", "by", buckets)
-    cells = placed.groupBy("bx", "by").agg(F.sum("n").alias("n"))
-    # At most (2 x buckets)^2 cells: a bounded table, summed by 2-D prefix.
-    grid = cells.toPandas()
-    bx, by = np.unique(grid["bx"], return_inverse=True)[1], np.unique(grid["by"], return_inverse=True)[1]
-    table = np.zeros((bx.max() + 1 if len(bx) else 1, by.max() + 1 if len(by) else 1))
-    table[bx, by] = grid["n"]
-    above = np.vstack([np.zeros((1, table.shape[1])), np.cumsum(table, axis=0)[:-1]])
-    left = np.cumsum(above, axis=1) - above
-    right = above.sum(axis=1, keepdims=True) - np.cumsum(above, axis=1)
-    cross = float((table * left).sum()), float((table * right).sum())
-
-    free_x, free_y = F.col("bx") % 2 == 0, F.col("by") % 2 == 0
-    in_x = _local_pairs(placed.filter(free_x), ["bx"])
-    in_y = _local_pairs(placed.filter(free_y), ["by"])
-    in_cell = _local_pairs(placed.filter(free_x & free_y), ["bx", "by"])
-    c = F.lit(cross[0]) + in_x.select("c").scalar() + in_y.select("c").scalar() - in_cell.select("c").scalar()
-    d = F.lit(cross[1]) + in_x.select("d").scalar() + in_y.select("d").scalar() - in_cell.select("d").scalar()
-
-    def ties(name: str):
-        per_value = counted.groupBy(name).agg(F.sum("n").cast("double").alias("n"))
-        return per_value.agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).scalar()
-
-    total = counted.agg(F.sum("n").cast("double").alias("n"))
-    pairs = F.col("n") * (F.col("n") - 1) / 2
-    out = total.withColumns({"__c": c, "__d": d, "__tx": ties("x"), "__ty": ties("y")})
-    tau = ratio(F.col("__c") - F.col("__d"), F.sqrt((pairs - F.col("__tx")) * (pairs - F.col("__ty"))))
+    counted = materialize(both.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")), "kendall")
+    ranks = {c: value_positions(counted.select(c).distinct(), [], c, rows_per_range=rows_per_range).select(c, F.col("below").alias(f"r{c}")) for c in ("x", "y")}
+    sizes = counted.agg(F.countDistinct("x").alias("x"), F.countDistinct("y").alias("y")).first()
+    few, many = ("x", "y") if sizes["x"] <= sizes["y"] else ("y", "x")
+    cells = counted.join(ranks["x"], "x").join(ranks["y"], "y").select(F.col(f"r{few}").alias("gx"), F.col(f"r{many}").alias("gy"), "n")
+    cells = materialize(cells, "kendall-ranks")
+    levels = range(max(1, -(-max(sizes[few] - 1, 1).bit_length() // 3)))
+    found = [_concordant(cells, level, rows_per_range) for level in levels]
+    total = found[0]
+    for each in found[1:]:
+        total = total.unionByName(each)
+    pairs = F.col("n").cast("decimal(38,0)") * (F.col("n") - 1) / 2
+
+    def ties(keys: Sequence[str]):
+        return counted.groupBy(*keys).agg(F.sum("n").alias("n")).agg(F.coalesce(F.sum(pairs.cast("double")), F.lit(0.0))).scalar()
+
+    out = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).withColumns(
+        {"__c": total.agg(F.sum("c").cast("double")).scalar(), "__tx": ties(["x"]), "__ty": ties(["y"]), "__txy": ties(["x", "y"]), "__p": pairs.cast("double")}
+    )
+    out = out.withColumn("__d", F.col("__p") - F.col("__tx") - F.col("__ty") + F.col("__txy") - F.col("__c"))
+    tau = ratio(F.col("__c") - F.col("__d"), F.sqrt((F.col("__p") - F.col("__tx")) * (F.col("__p") - F.col("__ty"))))
     return out.select(
         F.lit(a).alias("coluna_1"), F.lit(b).alias("coluna_2"), F.col("n").cast("long").alias("n"),
         F.col("__c").alias("concordantes"), F.col("__d").alias("discordantes"), tau.alias("kendall"),
     )
 
 
-def kendall_pairs(df: DataFrame, columns: Sequence[str], buckets: int = 32) -> DataFrame:
-    parts = [kendall_pair(df, a, b, buckets) for a, b in combinations(columns, 2)]
+def kendall_pairs(df: DataFrame, columns: Sequence[str], rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    parts = [kendall_pair(df, a, b, rows_per_range) for a, b in combinations(columns, 2)]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import first_year
+from ..functions.text import path_year
+from ..session import materialize, scratch_path
+from .json_ranges import split_records
 from .roles import normalize_names
 
 MAX_LINE_CHARS = 64 * 1024 * 1024
@@ -48,18 +52,19 @@ def classify_document(path: Column | str) -> dict[str, Column]:
 
 
 def year_from_path(path: Column | str) -> Column:
-    return first_year(path)
+    return path_year(path)
 
 
 def document_period(path: Column | str, content_year: Column) -> Column:
     """Year in the path, else the year found in the content."""
-    return F.coalesce(F.nullif(first_year(path), F.lit("")), content_year)
+    return F.coalesce(F.nullif(path_year(path), F.lit("")), content_year)
 
 
 def discover_files(spark: SparkSession, root: str, folder: str | None = "JSON") -> DataFrame:
     """Data documents below a root, with size and classification.
 
     Listing runs on executors; file contents are never read because the column is pruned.
+    Years are looked for below the root, whose own name is no matter.
     """
     found = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{json,jsonl,ndjson}")
@@ -69,7 +74,8 @@ def discover_files(spark: SparkSession, root: str, folder: str | None = "JSON")
     kept = found.filter(~name.startswith("_") & ~F.lower(name).rlike(METADATA_NAME))
     if folder:
         kept = kept.filter(F.upper(F.element_at(F.split("path", "/"), -2)) == folder.upper())
-    return kept.withColumns({**classify_document("path"), "ano_arquivo": year_from_path("path")})
+    below = F.regexp_replace("path", f"^.*?/{re.escape(root.rstrip('/').rsplit('/', 1)[-1])}/", "")
+    return kept.withColumns({**classify_document("path"), "ano_arquivo": year_from_path(below)})
 
 
 def _normalized(df: DataFrame) -> DataFrame:
@@ -98,24 +104,18 @@ def read_json_records(spark: SparkSession, path: str, shape: str = "lines", sche
     """Records of JSON documents with normalised column names.
 
     shape='lines' reads one object per line and skips lines that do not parse; 'array' reads
-    a document holding a list; 'object' reads documents whose list values hold the records.
+    documents holding a list of records; 'object' documents whose list values hold them.
+    Lists are cut into records by byte ranges (`json_ranges`), so one large document is read by
+    many tasks; the records are written to the shared folder as lines, from where the schema, if
+    none is given, and the values are read.
     """
-    if shape == "lines":
-        schema = schema or infer_schema(spark, path)
-        good = parse_lines(spark, path, schema).filter(~F.col("bad"))
-        return _normalized(good.select(*[F.col("r").getField(f.name).alias(f.name) for f in schema.fields]))
-    reader = spark.read.option("multiLine", "true").option("primitivesAsString", "true")
-    documents = (reader.schema(schema) if schema else reader).json(path)
-    if shape == "array":
-        return _normalized(documents.drop(CORRUPT))
-    lists = [f.name for f in documents.schema.fields if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType)]
-    if not lists:
-        return _normalized(documents.drop(CORRUPT))
-    parts = [documents.select(F.explode(name).alias("r")).select("r.*") for name in lists]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part, allowMissingColumns=True)
-    return _normalized(out)
+    if shape != "lines":
+        lines = scratch_path(spark, "json-records")
+        split_records(spark, path, shape).select("registro").write.text(lines)
+        path = lines
+    schema = schema or infer_schema(spark, path)
+    good = parse_lines(spark, path, schema).filter(~F.col("bad"))
+    return _normalized(good.select(*[F.col("r").getField(f.name).alias(f.name) for f in schema.fields]))
 
 
 def quarantine_bad_records(spark: SparkSession, path: str, schema: T.StructType | None = None) -> tuple[DataFrame, DataFrame]:
@@ -133,16 +133,29 @@ def read_parquet_tolerant(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true").parquet(path)
 
 
-def unreadable_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """(arquivo, motivo) of the files below a folder that lack Parquet's marks at either end.
+def unreadable_parquet(spark: SparkSession, path: str, small: int = 1 << 20, pattern: str = "*.parquet") -> DataFrame:
+    """(arquivo, motivo) of the files below a folder that are no whole Parquet files.
 
-    The files are listed and read by Spark as binary; a truncated or foreign file is found by its ends.
+    Spark's own reader asks every file for its rows without any column, which seeks to the footer,
+    checks its length and parses it; no data page is read.  Files that yield no row either have
+    none or can't be read: their ends are looked at where they are `small`; a larger file without a
+    row lacks a readable footer.
     """
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
+    listed = listed.withColumn("path", F.col("_metadata.file_path"))
+    reader = spark.read.option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+    sound = reader.schema("nenhuma string").parquet(path).select(F.col("_metadata.file_path").alias("path")).distinct()
+    empty = materialize(listed.select("path", "length").join(sound, "path", "left_anti"), "parquet-suspects")
     mark = F.lit(b"PAR1")
-    starts, ends = F.substring("content", 1, 4) == mark, F.substring("content", -4, 4) == mark
-    reason = F.when(F.col("length") < 12, "curto").when(~starts, "sem_inicio").when(~ends, "sem_fim")
-    return found.select(F.col("path").alias("arquivo"), reason.alias("motivo")).where("motivo is not null")
+    ends = listed.where(F.col("length") <= small).select("path", F.substring("content", 1, 4).alias("first"), F.substring("content", -4, 4).alias("last"), F.hex(F.substring("content", -8, 4)).alias("size"))
+    told = empty.join(ends, "path", "left")
+    # The footer's length is a little-endian number before the closing mark.
+    size = F.conv(F.concat(*[F.substring("size", i, 2) for i in (7, 5, 3, 1)]), 16, 10).cast("long")
+    reason = (
+        F.when(F.col("length") < 12, "curto").when(F.col("length") > small, "rodape_ilegivel").when(F.col("first") != mark, "sem_inicio")
+        .when(F.col("last") != mark, "sem_fim").when(size + 12 > F.col("length"), "rodape_ilegivel")
+    )
+    return told.select(F.col("path").alias("arquivo"), reason.alias("motivo")).where("motivo is not null")
 
 
 def flatten_record(df: DataFrame, depth: int = 2, separator: str = ".") -> DataFrame:

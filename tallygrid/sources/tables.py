@@ -23,14 +23,22 @@ def partitioned_sink(df: DataFrame, path: str, by: Sequence[str] = ("uf",), mode
     df.hint("rebalance", *by).write.mode(mode).partitionBy(*by).option("compression", "snappy").parquet(path)
 
 
+# Fixed value: the mark by which spreadsheets know UTF-8.
+BYTE_ORDER_MARK = "\ufeff"
+
+
 def scan_gold(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def csv_preview_sink(df: DataFrame, path: str, n: int = 5000) -> None:
-    """A ';' preview of n rows with a note; the Parquet table stays complete."""
+    """A ';' preview of the first n rows (in the order of all columns) with a note and a byte-order mark; the Parquet table stays complete."""
     note = f"CSV preview limitado a {n} linhas; Parquet contem a tabela completa."
-    df.limit(n).withColumn("_csv_preview_observacao", F.lit(note)).coalesce(1).write.mode("overwrite").options(header="true", sep=";").csv(path)
+    shown = head_sample(df, n).withColumn("_csv_preview_observacao", F.lit(note))
+    # The mark stands before the header, so the header is a row of its own; a single sorted partition keeps the order.
+    marked = shown.select(*[F.col(c).cast("string") for c in shown.columns])
+    header = df.sparkSession.createDataFrame([tuple(BYTE_ORDER_MARK * (i == 0) + c for i, c in enumerate(shown.columns))], marked.schema)
+    header.unionByName(marked).coalesce(1).write.mode("overwrite").options(header="false", sep=";").csv(path)
 
 
 def pending_slices(slices: DataFrame, manifest: DataFrame | None, version: str, keys: Sequence[str] = ("ano", "uf")) -> DataFrame:
@@ -92,15 +100,38 @@ def sample_order(df: DataFrame, keys: Sequence[str], seed: int):
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
 
 
-def reservoir_sample(df: DataFrame, keys: Sequence[str], fraction: float = 1.0, low: int = 0, high: int | None = None, seed: int = 42) -> DataFrame:
+def reservoir_sample(
+    df: DataFrame, keys: Sequence[str], fraction: float = 1.0, low: int = 0, high: int | None = None, seed: int = 42, bucket_rows: int = 100_000
+) -> DataFrame:
     """A seeded sample, between two sizes if given, the same whatever the partitioning.
 
-    Rows are ordered by a keyed digest; the size is computed in the plan.  The digest order
-    with a limit is a per-task top-k.
+    Rows go by a keyed digest.  The digest at which the sample ends is found by counting rows per
+    three hex digits (4096 counts at a time), then inside the bucket where the size is reached, until
+    it holds at most `bucket_rows` rows; everything below is one filter.  Only that last bucket is
+    sorted.  Repeated keys share a digest and can't be told apart: any of them may be left out.
     """
     total = df.count()
     size = min(max(low, round(total * fraction)), total, total if high is None else high)
-    return df.orderBy(sample_order(df, keys, seed), *keys).limit(size)
+    if size == total:
+        return df
+    marked = df.withColumn("__digest", sample_order(df, keys, seed))
+    prefix, wanted = "", size
+    while wanted and len(prefix) < 30:
+        inside = marked.where(F.col("__digest").startswith(prefix)) if prefix else marked
+        counts = inside.groupBy(F.substring("__digest", len(prefix) + 1, 3).alias("d")).count().orderBy("d").collect()
+        for row in counts:
+            if row["count"] > wanted:
+                prefix, bucket = prefix + row.d, row["count"]
+                break
+            wanted -= row["count"]
+        else:
+            break
+        if bucket <= bucket_rows:
+            break
+    sure = marked.where(F.col("__digest") < prefix)
+    if wanted:
+        sure = sure.unionByName(marked.where(F.col("__digest").startswith(prefix)).orderBy("__digest", *keys).limit(wanted))
+    return sure.drop("__digest")
 
 
 def head_sample(df: DataFrame, n: int) -> DataFrame:

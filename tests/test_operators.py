@@ -98,11 +98,11 @@ def skewed(spark, n=400, seed=3):
 def test_quantiles_and_ranks_match_pandas_under_ties(spark):
     rows, df = skewed(spark)
     frame = pd.DataFrame(rows, columns=["i", "x", "y"])
-    got = os_.exact_quantiles(df, [], "x", {"a": 0.33, "b": 0.66, "c": 0.05}, buckets=8).first()
+    got = os_.exact_quantiles(df, [], "x", {"a": 0.33, "b": 0.66, "c": 0.05}, rows_per_range=20).first()
     assert [round(got[k], 9) for k in "abc"] == [round(frame.x.quantile(q), 9) for q in (0.33, 0.66, 0.05)]
-    ranks = {r.i: r.r for r in os_.average_rank_spread(df, [], "x", "r", buckets=8).collect()}
+    ranks = {r.i: r.r for r in os_.average_rank_spread(df, [], "x", "r", rows_per_range=20).collect()}
     assert ranks == dict(zip(frame.i, frame.x.rank()))
-    numbers = sorted(r.n for r in os_.row_positions(df, "x", F.col("i"), "n", buckets=8).collect())
+    numbers = sorted(r.n for r in os_.row_positions(df, "x", F.col("i"), "n", rows_per_range=20).collect())
     assert numbers == list(range(1, len(rows) + 1))
 
 
@@ -112,8 +112,8 @@ def test_kendall_matches_brute_force(spark):
     for (_, x1, y1), (_, x2, y2) in itertools.combinations(rows, 2):
         s = (x1 - x2) * (y1 - y2)
         c, d = c + (s > 0), d + (s < 0)
-    for buckets in (4, 16):
-        got = st.kendall_pair(df, "x", "y", buckets).first()
+    for rows_per_range in (25, 10**6):
+        got = st.kendall_pair(df, "x", "y", rows_per_range).first()
         assert (got.concordantes, got.discordantes) == (c, d)
 
 
