@@ -117,19 +117,32 @@ def _uniform_sql(start: int) -> str:
     return f"((cast('0x' || substr(md5(key), {start}, 13) as bigint) + 0.5::double) / 4503599627370496)"
 
 
-@query("M7_uncertainty_bands", f"""
+def _turned_sql(start: str, step: float) -> str:
+    """Value r of the sequence from `start`."""
+    x = f"({start} + r * {step!r}::double)"
+    return f"greatest({x} - floor({x}), 1e-12::double)"
+
+
+@query("M7_uncertainty_bands")
+def m7(d):
+    """3000 replicates, as the operator has by default; SQL draws 200 of the same sequence below."""
+    return pr.uncertainty_bands(prepared(d))
+
+
+@query("M7_uncertainty_bands_200", f"""
   with k as (
-    select p.*, x.*, r, concat_ws('|', '42', {UNIT}) || '|' || cenario || '|' || entidade || '|' || r as key,
+    select p.*, x.*, concat_ws('|', '42', {UNIT}) || '|' || cenario || '|' || entidade as key,
       least(greatest(least(greatest(coalesce(comparecimento_estimado / nullif(eleitorado, 0), 0.75), 0.30), 0.98) + shift, 0.30), 0.98) as turnout
-    from prepared p, (values {_NOISE}) x(cenario, w, shift, noise), range(1, 201) t(r)),
+    from prepared p, (values {_NOISE}) x(cenario, w, shift, noise)),
+  y as (select k.*, r, {_uniform_sql(1)} as a, {_uniform_sql(14)} as b from k, range(1, 201) t(r)),
   z as (select *, greatest(coalesce(share, 0) + cast(w as double) * swing_anual_estimado * anos
-      + sqrt(-2 * ln({_uniform_sql(1)})) * cos(2 * pi() * {_uniform_sql(14)}) * sigma_estimado * noise, 0.000001) as raw from k),
+      + sqrt(-2 * ln({_turned_sql('a', pr.STEPS[0])})) * cos(2 * pi() * {_turned_sql('b', pr.STEPS[1])}) * (sigma_estimado * noise), 0.000001) as raw from y),
   v as (select cenario, cargo, turno, entidade, r, raw / sum(raw) over (partition by cenario, {UNIT}, r) * coalesce(eleitorado, 0) * turnout as v from z),
   t as (select cenario, cargo, turno, entidade, r, sum(v) as v from v group by all),
   h as (select *, v / sum(v) over (partition by cenario, cargo, turno, r) as share from t)
   select cenario, cargo, turno, entidade, count(*) as n_simulacoes, {r6('avg(share)')} as share_medio, {r6('quantile_cont(share, 0.05)')} as share_p05,
     {r6('quantile_cont(share, 0.5)')} as share_p50, {r6('quantile_cont(share, 0.95)')} as share_p95, {r6('stddev_pop(share)')} as share_desvio from h group by all""")
-def m7(d):
+def m7_200(d):
     return pr.uncertainty_bands(prepared(d), n=200)
 
 

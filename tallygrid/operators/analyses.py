@@ -12,6 +12,7 @@ from ..functions import bands, narrative
 from ..functions.numbers import number, ratio
 from ..functions.text import has_text, meaningful, profile_combo, safe_text, valid
 from ..model import ELECTORAL, TURNOUT, Spec
+from .blocks import sum_of_products
 from .core import by_level, previous, share_of_total, share_within, sums, top1, top_ranked, unpivot
 
 
@@ -262,18 +263,18 @@ def crystallisation(results: DataFrame, entity: str = "partido", spec: Spec = EL
 def transfer_matrix(results: DataFrame, entity: str = "partido", spec: Spec = ELECTORAL, contest_in_scope: bool = False) -> DataFrame:
     """Territorial co-occurrence of shares between periods, normalised by origin.
 
-    The result itself is the entity x entity matrix per period pair.  Each place enters the
-    join with one row per entity and period, and products are added up map-side.
+    The result itself is the entity x entity matrix per period pair: a product of place x entity
+    matrices, multiplied by blocks of places, so a block of places makes one row per pair.
     """
     keys = [spec.state, spec.place, *spec.contest]
-    shares = _place_shares(results, entity, spec).withColumn("y", F.col(spec.period).try_cast("int"))
+    shares = _place_shares(results, entity, spec).withColumn("y", F.col(spec.period).try_cast("int")).filter("y is not null")
     origin = shares.select(*keys, F.col("y").alias("ano_origem"), F.col("entidade").alias("entidade_origem"), F.col("share").alias("a"))
     target = shares.select(*keys, F.col("y").alias("ano_destino"), F.col("entidade").alias("entidade_destino"), F.col("share").alias("b"))
-    pairs = origin.join(target, keys).filter(F.col("ano_origem") < F.col("ano_destino"))
-    scope = ["ano_origem", "ano_destino", *(spec.contest if contest_in_scope else ())]
-    scores = pairs.groupBy(*scope, "entidade_origem", "entidade_destino").agg(
-        F.sum(F.col("a") * F.col("b")).alias("score_coocorrencia")
-    )
+    own = list(spec.contest) if contest_in_scope else []
+    inner = [k for k in keys if k not in own]
+    scores = sum_of_products(origin, target, own, inner, ["ano_origem", "entidade_origem"], ["ano_destino", "entidade_destino"], "a", "b", "score_coocorrencia")
+    scores = scores.filter(F.col("ano_origem") < F.col("ano_destino"))
+    scope = ["ano_origem", "ano_destino", *own]
     return share_of_total(scores, [*scope, "entidade_origem"], "score_coocorrencia", "transferencia_proxy")
 
 

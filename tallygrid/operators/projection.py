@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -184,22 +185,31 @@ def _uniform(digest: Column, start: int) -> Column:
     return (F.conv(F.substring(digest, start, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
-def _normal(key: Column) -> Column:
-    """A standard normal value that depends on the key alone (Box-Muller)."""
-    digest = F.md5(key)
-    return F.sqrt(-2 * F.ln(_uniform(digest, 1))) * F.cos(2 * math.pi * _uniform(digest, 14))
+# The steps of the two sequences behind a normal value, the golden ratio and the root of two without their whole parts.
+STEPS = (0.6180339887498949, 0.41421356237309515)
+
+
+def normal_values(a: float, b: float, n: int) -> np.ndarray:
+    """Standard normal values 1 to n of a rotated lattice: two sequences with irrational steps from random starts (Box-Muller)."""
+    r = np.arange(1, n + 1)
+    u, v = (np.maximum((x + r * step) - np.floor(x + r * step), 1e-12) for x, step in zip((a, b), STEPS, strict=True))
+    return np.sqrt(-2 * np.log(u)) * np.cos(2 * np.pi * v)
+
+
+_VECTOR = "cenario string, {contest}, entidade string, start int, block array<double>"
 
 
 def uncertainty_bands(
     prepared: DataFrame, n: int = 3000, seed: int = 42, spec: Spec = ELECTORAL, scenarios: Sequence[Scenario] = SCENARIOS,
-    sigma: float = DEFAULT_SIGMA,
+    sigma: float = DEFAULT_SIGMA, held: int = 4096, block: int = 500,
 ) -> DataFrame:
     """Mean, quantiles and deviation of the national share over n noisy replicates.
 
-    A section contest is one row with its entities in an array (a ballot bounds it), so a
-    replicate is normalised inside its row.  Noise is a function of contest, entity,
-    scenario and replicate, whatever the partitioning.  Votes are added up by entity and
-    replicate with partial aggregation: a task sends at most one row for each of those.
+    A section contest is one row with its entities in an array (a ballot bounds it), so its n
+    replicates are drawn and normalised side by side, as vectors.  Noise starts from a digest of
+    contest, entity and scenario, so it is the same whatever the partitioning.  A task adds vectors up
+    by scenario, contest and entity, at most `held` of them before it passes them on in blocks of replicates;
+    Spark adds those by replicate.  Quantiles are exact, over n values per entity.
     """
     unit = unit_columns(prepared, spec)
     entity = F.struct(
@@ -214,19 +224,47 @@ def uncertainty_bands(
         F.struct(F.lit(s.name).alias("cenario"), F.lit(s.trend_weight).alias("peso"), F.lit(s.turnout_shift).alias("desvio"), F.lit(s.noise).alias("ruido"))
         for s in scenarios
     ])
-    runs = contests.select("*", F.explode(plan).alias("s")).select("*", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("r"))
-
-    def drawn(e: Column) -> Column:
-        key = F.concat_ws("|", "chave", F.col("s.cenario"), e["entidade"], F.col("r").cast("string"))
-        raw = F.greatest(e["share"] + F.col("s.peso") * e["swing"] * e["anos"] + _normal(key) * e["sigma"] * F.col("s.ruido"), F.lit(1e-6))
+    def ready(e: Column) -> Column:
+        digest = F.md5(F.concat_ws("|", "chave", F.col("s.cenario"), e["entidade"]))
+        centre = e["share"] + F.col("s.peso") * e["swing"] * e["anos"]
         cast = e["eleitorado"] * F.least(F.greatest(e["turnout"] + F.col("s.desvio"), F.lit(0.30)), F.lit(0.98))
-        return F.struct(e["entidade"].alias("entidade"), raw.alias("raw"), cast.alias("votantes"))
+        return F.struct(
+            e["entidade"].alias("entidade"), centre.alias("centro"), (e["sigma"] * F.col("s.ruido")).alias("raio"), cast.alias("votantes"),
+            _uniform(digest, 1).alias("a"), _uniform(digest, 14).alias("b"),
+        )
 
     scope = ["cenario", *spec.contest]
-    # Draws are bound as an array of one, so that the sum and the votes read them without drawing again.
-    draws = F.transform(F.array(F.transform("itens", drawn)), lambda x: F.struct(x.alias("x"), F.aggregate(x, F.lit(0.0), lambda t, e: t + e["raw"]).alias("total")))
-    cast = F.transform(draws, lambda d: F.transform(d["x"], lambda e: F.struct(e["entidade"].alias("entidade"), (e["raw"] / d["total"] * e["votantes"]).alias("v"))))
-    votes = runs.select(F.col("s.cenario").alias("cenario"), *spec.contest, "r", F.explode_outer(F.flatten(cast)).alias("e")).select(*scope, "r", "e.*")
+    # A row per contest and scenario, its entities' numbers in parallel arrays.
+    names = ["entidade", "centro", "raio", "votantes", "a", "b"]
+    packed = contests.select("*", F.explode(plan).alias("s")).select(F.col("s.cenario").alias("cenario"), *spec.contest, F.transform("itens", ready).alias("x"))
+    packed = packed.select(*scope, *[F.col(f"x.{c}").alias(c) for c in names])
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[tuple, np.ndarray] = {}
+
+        def passed() -> pd.DataFrame:
+            rows = [(*key, start, each[start : start + block]) for key, each in sums.items() for start in range(0, n, block)]
+            return pd.DataFrame(rows, columns=[*scope, "entidade", "start", "block"])
+
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                group, (entities, *numbers) = row[: len(scope)], row[len(scope) :]
+                centre, radius, cast, a, b = (np.asarray(x, float) for x in numbers)
+                noise = np.stack([normal_values(x, y, n) for x, y in zip(a, b, strict=True)])
+                raw = np.maximum(centre[:, None] + noise * radius[:, None], 1e-6)
+                votes = raw / raw.sum(axis=0) * cast[:, None]
+                for entity, each in zip(entities, votes, strict=True):
+                    key = (*group, entity)
+                    sums[key] = sums[key] + each if key in sums else each
+                if len(sums) > held:
+                    yield passed()
+                    sums = {}
+        if sums:
+            yield passed()
+
+    contest = ", ".join(f"{c} {kind}" for c, kind in packed.dtypes if c in spec.contest)
+    votes = packed.mapInPandas(draw, _VECTOR.format(contest=contest)).select(*scope, "entidade", "start", F.posexplode("block").alias("i", "v"))
+    votes = votes.withColumn("r", F.col("start") + F.col("i"))
     totals = votes.groupBy(*scope, "entidade", "r").agg(F.sum("v").alias("v"))
     shares = share_within(totals, [*scope, "r"], "v", "share")  # one row per entity of a contest
     # n values per group, a parameter

@@ -1,9 +1,8 @@
 """Ecological proxy: profile head counts spread over entities by their section share.
 
-The join key is the section.  Both sides are aggregated first, so a section contributes at
-most (profile combinations) x (contest entities) rows: vocabulary sizes, not row counts.
-Partial aggregation follows the join in the same stage, and adaptive execution splits a
-skewed section.
+The shared key is the section.  Both sides are aggregated first, to vocabulary sizes, not row
+counts, and multiplied by blocks of sections (`blocks`): a block makes one row per profile and
+entity, whatever the number of its sections.
 """
 
 from __future__ import annotations
@@ -18,6 +17,7 @@ from ..functions.numbers import number, ratio
 from ..functions.text import profile_combo, valid
 from ..model import ELECTORAL, Spec
 from ..session import materialize
+from .blocks import sum_of_products
 from .core import by_level, roll_up, share_of_total, share_within, top_ranked, with_totals
 from .order_statistics import ranked_spread
 
@@ -42,13 +42,20 @@ def section_combos(electorate: DataFrame, on: Sequence[str], spec: Spec = ELECTO
 
 
 def proxy_parts(electorate: DataFrame, results: DataFrame, entity: str = "partido", spec: Spec = ELECTORAL, on: Sequence[str] | None = None) -> DataFrame:
-    """Proxy votes per municipality, contest, entity and combined profile."""
+    """Proxy votes per municipality, contest, entity and combined profile.
+
+    The sum over sections of head counts times shares is a matrix product: sections of a place are
+    multiplied by blocks, so no row per section, profile and entity is made.
+    """
     keys = list(on or spec.section_keys)
-    joined = section_combos(electorate, keys, spec).join(section_shares(results, entity, spec), keys)
-    weight = F.col("eleitorado_perfil") * F.col("share_secao")
-    return joined.groupBy(*spec.place_keys, *spec.contest, "entidade", "perfil_combinado").agg(
-        F.max(spec.place_name).alias(spec.place_name), F.sum(weight).alias("votos_proxy")
-    )
+    heads, shares = section_combos(electorate, keys, spec), section_shares(results, entity, spec)
+    inner = [k for k in keys if k not in spec.place_keys]
+    columns = [*[c for c in spec.contest if c not in inner], "entidade"]
+    both = [c for c in spec.contest if c in inner]  # contests that the electorate has as well
+    out = sum_of_products(heads, shares, [*spec.place_keys, *both], [k for k in inner if k not in both], ["perfil_combinado"], columns, "eleitorado_perfil", "share_secao", "votos_proxy")
+    names = electorate.groupBy(*spec.place_keys).agg(F.max(spec.place_name).alias(spec.place_name))
+    out = out.join(names, list(spec.place_keys))
+    return out.select(*spec.place_keys, *spec.contest, "entidade", "perfil_combinado", spec.place_name, "votos_proxy")
 
 
 def profile_entity_level(parts: DataFrame, level: str, entity: str = "partido", spec: Spec = ELECTORAL, top: int | None = 10) -> DataFrame:

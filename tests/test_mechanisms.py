@@ -140,3 +140,22 @@ def test_sweep_is_lloyd_and_ignores_partitions(spark):
             assert np.allclose(centres[c], dense[near == c].mean(axis=0))
         assert [r.c for r in rows.select(kmeans_sweep.nearest(centres)("numbers").alias("c")).collect()] == list(near)
     assert [k for k, _ in costs] == [k for k, _ in same]
+
+
+@pytest.mark.parametrize("keys_per_block", [3, 256])
+def test_products_are_summed_by_blocks(spark, keys_per_block):
+    from tallygrid.operators import blocks
+
+    rng = random.Random(5)
+    left = [(s, f"k{k}", f"r{r}", rng.random()) for s in ("a", "b", None) for k in range(40) for r in range(6) if rng.random() < 0.5]
+    right = [(s, f"k{k}", c, rng.choice(["x", "y"]), rng.random()) for s in ("a", "b", None) for k in range(5, 50) for c in range(3)]
+    lf, rf = spark.createDataFrame(left, "s string, k string, r string, a double"), spark.createDataFrame(right, "s string, k string, c int, e string, b double")
+    want = lf.join(rf, ["s", "k"]).groupBy("s", "r", "c", "e").agg(F.sum(F.col("a") * F.col("b")).alias("v"))
+    got = blocks.sum_of_products(lf, rf, ["s"], ["k"], ["r"], ["c", "e"], "a", "b", "v", keys_per_block)
+    plain = lambda df: sorted((*r[:4], round(r.v, 9)) for r in df.select("s", "r", "c", "e", "v").collect())
+    assert plain(got) == plain(want)
+    parts = blocks.partial_products(lf, rf, ["s"], ["k"], ["r"], ["c", "e"], "a", "b", "v", 256).count()
+    assert parts <= 2 * 6 * 6 < lf.join(rf, ["s", "k"]).count() / 8  # rows before the sum, against those of a join
+    whole = blocks.sum_of_products(lf, rf, [], ["s", "k"], ["r"], ["c", "e"], "a", "b", "v", keys_per_block)
+    total = lf.join(rf, ["s", "k"]).groupBy("r", "c", "e").agg(F.sum(F.col("a") * F.col("b")).alias("v"))
+    assert sorted((r.r, r.c, r.e, round(r.v, 9)) for r in whole.collect()) == sorted((r.r, r.c, r.e, round(r.v, 9)) for r in total.collect())
