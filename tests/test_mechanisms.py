@@ -159,3 +159,23 @@ def test_products_are_summed_by_blocks(spark, keys_per_block):
     whole = blocks.sum_of_products(lf, rf, [], ["s", "k"], ["r"], ["c", "e"], "a", "b", "v", keys_per_block)
     total = lf.join(rf, ["s", "k"]).groupBy("r", "c", "e").agg(F.sum(F.col("a") * F.col("b")).alias("v"))
     assert sorted((r.r, r.c, r.e, round(r.v, 9)) for r in whole.collect()) == sorted((r.r, r.c, r.e, round(r.v, 9)) for r in total.collect())
+
+
+def test_delimited_files_of_several_encodings_take_one_job(spark, tmp_path):
+    from tallygrid.sources import delimited
+
+    names = ["São Paulo", "Açu “x”", "plain"]
+    for i, (sep, encoding) in enumerate([(";", "utf-8"), ("|", "latin-1"), (";", "utf-8-sig"), (",", "cp1252"), (";", "latin-1")]):
+        own = [n if encoding != "latin-1" else n.replace("“x”", "x") for n in names]
+        text = "\n".join([f"nome{sep}votos", *[f"{n}{sep}{i}" for n in own], "", sep])
+        (tmp_path / f"arquivo {i}.csv").write_bytes(text.encode(encoding))
+    (tmp_path / "vazio.csv").write_bytes(b"")
+    files = sorted(str(p) for p in tmp_path.iterdir())
+    tracker, before = spark.sparkContext.statusTracker(), set(spark.sparkContext.statusTracker().getJobIdsForGroup())
+    probed = delimited.probe_headers(spark, files)
+    assert len(set(tracker.getJobIdsForGroup()) - before) == 1
+    assert [v[2] for _, v in sorted(probed.items())] == ["UTF-8", "ISO-8859-1", "UTF-8", "windows-1252", "ISO-8859-1"]
+    assert {v[:2] for v in probed.values()} == {(";", ("nome", "votos")), ("|", ("nome", "votos")), (",", ("nome", "votos"))}
+    (rows,) = delimited.read_delimited_grouped(spark, files).values()
+    got = sorted((r.VOTOS, r.NOME) for r in rows.collect())
+    assert len(got) == 15 and {n for v, n in got if v == "3"} == set(names) and {n for v, n in got if v == "1"} == {"São Paulo", "Açu x", "plain"}
