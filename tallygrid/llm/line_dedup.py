@@ -8,7 +8,7 @@ at least `min_docs` documents lose all their lines everywhere.
 2. Digests found twice or more are dealt into shards.  A task builds a minimal perfect hash
    per shard (levels of bit arrays: a key takes the first level where no other key of the
    shard wants its bit; its rank among set bits is its slot) and two arrays by slot: a 64-bit
-   fingerprint and a 16-bit saturated count.  An index row is one shard.
+   fingerprint and a 32-bit count.  An index row is one shard.
 3. Documents send only digests, once per distinct text, to the shard that owns them, where
    whole batches probe the arrays.  A digest that is not in the index meets a wrong
    fingerprint or no slot.  Shards that receive more than their share (a line of a third of
@@ -33,6 +33,9 @@ from pyspark.sql import types as T
 from ..session import materialize
 from .common import mix, spread
 
+#: The largest count that an index holds; `min_docs` can't be larger.
+MOST = 2**32 - 1
+
 _U = np.uint64
 _GOLDEN = _U(0x9E3779B97F4A7C15)
 _DIGESTS = T.ArrayType(T.StructType([T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType())]))
@@ -90,7 +93,7 @@ def build_shard(h1: np.ndarray, h2: np.ndarray, counts: np.ndarray, room: float
         left = left[~got]
     order = np.concatenate(owner) if owner else np.empty(0, np.int64)
     packed = np.packbits(np.concatenate(bits)) if bits else np.empty(0, np.uint8)
-    return sizes, packed.tobytes(), h2[order].astype("<i8").tobytes(), np.minimum(counts[order], 65535).astype("<u2").tobytes()
+    return sizes, packed.tobytes(), h2[order].astype("<i8").tobytes(), np.minimum(counts[order], MOST).astype("<u4").tobytes()
 
 
 def probe_shard(shard: tuple, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
@@ -99,7 +102,7 @@ def probe_shard(shard: tuple, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
     x = h1.astype(np.uint64) + _GOLDEN * h2.astype(np.uint64)
     bits = np.unpackbits(np.frombuffer(packed, np.uint8), count=sum(sizes)).astype(bool)
     rank = np.cumsum(bits) - 1
-    prints, counts = np.frombuffer(prints, "<i8"), np.frombuffer(counts, "<u2")
+    prints, counts = np.frombuffer(prints, "<i8"), np.frombuffer(counts, "<u4")
     out = np.zeros(len(x), np.int64)
     left, start = np.arange(len(x)), 0
     for level, size in enumerate(sizes):
@@ -183,8 +186,8 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, keys_per_shard: int = 200_0
 
     Own columns named n_lines or n_dropped give way to the new ones; a null text stays null.
     """
-    if min_docs < 2:
-        raise ValueError("the index holds lines of two documents or more")
+    if not 2 <= min_docs <= MOST:
+        raise ValueError(f"the index holds lines of 2 to {MOST} documents")
     index, load = index_lines(docs, keys_per_shard)
     hits = materialize(frequent(docs, index, load, min_docs), "line-hits")
     own = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]

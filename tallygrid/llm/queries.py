@@ -115,8 +115,11 @@ with w as (
   select 'd' as kind, doc_id as id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') as ws from documents
   union all select 'i', item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') from benchmark),
 s as (select distinct kind, id, array_to_string(ws[i:i + 4], ' ') as g from (select *, unnest(range(1, len(ws) - 3)) as i from w where len(ws) >= 5)),
-n as (select id, count(*) as n from s where kind = 'i' group by id),
-p as (select d.id as doc_id, i.id as item_id, count(*) as n_shared from s d join s i on d.g = i.g where d.kind = 'd' and i.kind = 'i' group by 1, 2)
+k as (select distinct len(ws) as k from w where kind = 'i' and len(ws) between 1 and 4),
+a as (select * from s union all select 'i', id, array_to_string(ws, ' ') from w where kind = 'i' and len(ws) between 1 and 4
+  union all select distinct 'd', id, array_to_string(ws[i:i + k - 1], ' ') from (select *, unnest(range(1, len(ws) - k + 2)) as i from w, k where kind = 'd' and len(ws) >= k)),
+n as (select id, count(*) as n from a where kind = 'i' group by id),
+p as (select d.id as doc_id, i.id as item_id, count(*) as n_shared from a d join a i on d.g = i.g where d.kind = 'd' and i.kind = 'i' group by 1, 2)
 select doc_id, item_id, n as n_item_shingles, n_shared, round(n_shared / n, 6) as containment
 from p join n on n.id = item_id where 100 * n_shared >= 80 * n
 """

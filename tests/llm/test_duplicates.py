@@ -157,3 +157,35 @@ def test_decontamination_on_odd_rows(spark):
     out = decontaminate.clean(docs, bench)
     assert out.columns == docs.columns and sorted(r["doc_id"] for r in out.collect()) == [0, 1, 2, 3, 6, 7, 8]
     assert decontaminate.find(frames.odd(spark, empty=True), bench).count() == 0 and decontaminate.clean(docs, bench.where("false")).count() == 12
+
+
+def test_short_items_are_found_by_their_whole_sequence(spark):
+    items = [(1, "Forty-Two"), (2, "blue"), (3, "red green blue sky"), (4, "..."), (5, None), (6, "red green blue sky over")]
+    texts = ["the blue sky", "RED, green: blue sky", "forty two", "two forty", frames.LONG + " blue", "", None, "a red green blue sky over us", "bluesky"]
+    want = set()
+    for d, text in enumerate(texts):
+        have = __import__("re").findall(r"[^\W_]+", (text or "").lower())
+        for i, item in items:
+            ws = __import__("re").findall(r"[^\W_]+", (item or "").lower())
+            if ws and any(have[k : k + len(ws)] == ws for k in range(len(have))):
+                want.add((d, i))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = frames.documents(spark, texts)
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.find(docs, bench).collect()} == want
+    assert {r["doc_id"] for r in decontaminate.clean(docs, bench).collect()} == set(range(len(texts))) - {d for d, _ in want}
+
+
+def test_short_items_in_sql(spark, tmp_path):
+    import duckdb
+    import oracle
+
+    from tallygrid.llm import queries
+
+    items = spark.createDataFrame([(1, "two forty"), (2, "blue"), (3, "one two three four five six")], "item_id long, text string")
+    docs = frames.documents(spark, ["two forty blue", "one two three four five six seven", None, "Blue"], extra=False)
+    for name, df in (("documents", docs), ("benchmark", items)):
+        df.coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    assert oracle.difference(queries.op3_benchmark_decontamination(spark, str(tmp_path)), con, queries.ORACLE["op3_benchmark_decontamination"]) is None

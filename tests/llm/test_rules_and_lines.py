@@ -95,6 +95,16 @@ def test_perfect_hash_is_minimal_and_refuses_strangers():
     counts = rng.integers(2, 100_000, 5000)
     shard = line_dedup.build_shard(h1, h2, counts)
     assert len(shard[2]) == 8 * 5000
-    assert (line_dedup.probe_shard(shard, h1, h2) == np.minimum(counts, 65535)).all()
+    assert (line_dedup.probe_shard(shard, h1, h2) == counts).all()
     assert not line_dedup.probe_shard(shard, h1, h2 + 1).any()
     assert not line_dedup.probe_shard(line_dedup.build_shard(h1[:0], h2[:0], counts[:0]), h1, h2).any()
+
+
+def test_counts_above_sixteen_bits_are_kept():
+    import numpy as np
+
+    from tallygrid.llm import line_dedup
+
+    h1, h2, counts = np.arange(1, 6), np.arange(11, 16), np.array([2, 65_535, 65_536, 70_000, 10**9])
+    shard = line_dedup.build_shard(h1, h2, counts)
+    assert line_dedup.probe_shard(shard, h1, h2).tolist() == counts.tolist()
