@@ -205,7 +205,20 @@ def k17(d):
     return cl.cluster_projection(hashed(d))
 
 
-@query("K18_cluster_personas")
+def _dominant_sql(c: str) -> str:
+    return f"(select cluster, v from (select cluster, {c} as v, row_number() over (partition by cluster order by count(*) desc, {c}) as rn from sector_base where {ok(c)} group by cluster, {c}) where rn = 1)"
+
+
+_TRAITS = [f"{before} || {value}.v" if i == 0 else f"{before} || lower({value}.v)" for i, (before, value) in enumerate(zip(["'na faixa '", "''", "'com '", "''", "'de raca/cor '"], DIMS, strict=True))]
+
+
+@query("K18_cluster_personas", f"""
+  with b as (select cluster, vencedor_setor, pred from (select *, row_number() over (partition by cluster order by round(pred, 9) desc, vencedor_setor) as rn from (
+      select *, row_number() over (partition by cluster, cargo, turno order by round(pred, 9) desc, vencedor_setor) as rk from cluster_proj) where rk = 1) where rn = 1)
+  select t.cluster, b.vencedor_setor as entidade_prevista_2026, {r6('b.pred')} as share_entidade_prevista_2026,
+    'Eleitor ' || concat_ws(', ', {', '.join(_TRAITS)}) || coalesce(', mais presente em ' || nullif(concat_ws(' / ', regiao.v, uf.v), ''), '')
+      || '. Esse grupo tende a se aproximar de ' || b.vencedor_setor || '.' as pessoa_do_cluster
+  from (select distinct cluster from sector_base) t left join b using (cluster) {' '.join(f"left join {_dominant_sql(c)} {c} on {c}.cluster = t.cluster" for c in ("regiao", "uf", *DIMS))}""")
 def k18(d):
     rows = hashed(d)
     return cl.cluster_personas(cl.cluster_summary(rows, _COLS), cl.cluster_projection(rows)).select("cluster", "pessoa_do_cluster", "entidade_prevista_2026", "share_entidade_prevista_2026")

@@ -67,7 +67,20 @@ def q3(d):
     return op.section_winner_profile(d.results, d.electorate)
 
 
-@query("Q4_section_winner_explained", None)
+_TWO = "printf('%.2f', round(100 * {}, 2))"
+_LEADERS = f"""
+  with u as ({' union all '.join(f"select {SECTION}, '{x.replace('perfil_', '')}' as dim, {x} as valor, cast(sum(eleitorado) as bigint) as e from electorate where eleitorado > 0 and trim({x}) <> '' group by all" for x in DIMS)}),
+  t as (select *, row_number() over (partition by {SECTION}, dim order by e desc, valor) as rn from u)
+  select {SECTION}, concat_ws('; ', {', '.join(f"max(case when dim = '{x.replace('perfil_', '')}' then dim || ': ' || valor || ' (' || e || ' eleitores)' end)" for x in DIMS)}) as perfil_predominante_secao
+  from t where rn = 1 group by {SECTION}"""
+
+
+@query("Q4_section_winner_explained", _RANKED + f""", b as (select {CONTEST}, share from k where rk = 2),
+  x as (select a.{CONTEST.replace(', ', ', a.')}, a.share as s1, a.share - coalesce(b.share, 0) as m1, a.abstencao_estimado / nullif(a.eleitorado, 0) as t1 from (select * from k where rk = 1) a left join b using ({CONTEST})),
+  q as ({_WON}), p as ({_LEADERS})
+  select q.*, p.perfil_predominante_secao, concat_ws('; ', 'teve ' || {_TWO.format('s1')} || '% dos votos validos/registrados no recorte', 'abriu margem de ' || {_TWO.format('m1')} || ' pontos percentuais sobre o segundo',
+    'a abstencao observada foi ' || {_TWO.format('t1')} || '%', 'o perfil predominante da secao foi ' || nullif(p.perfil_predominante_secao, '')) as por_que_ganhou_proxy
+  from q join x using ({CONTEST}) left join p using ({SECTION})""")
 def q4(d):
     return op.section_winner_explained(d.base, d.electorate)
 

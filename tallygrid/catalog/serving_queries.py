@@ -128,7 +128,11 @@ def v17(d):
     return wide.select("nm_municipio", sum((F.col(f"`{c}`") for c in parties), F.lit(0)).alias("total"))
 
 
-@query("V17_place_party_matrix")
+@query("V17_place_party_matrix", """
+  with r as (select nm_municipio, partido, sum(votos) as v from results group by all),
+  p as (select partido from r group by 1 order by sum(v) desc, partido limit 12), m as (select nm_municipio from r group by 1 order by sum(v) desc, nm_municipio limit 24),
+  f as (select nm_municipio, partido, cast(v as bigint) as v from r where partido in (select partido from p) and nm_municipio in (select nm_municipio from m))
+  select nm_municipio, coalesce(columns(* exclude (nm_municipio)), 0) from (pivot f on partido using sum(v) group by nm_municipio)""")
 def v17full(d):
     return sv.place_party_matrix(d.results)
 

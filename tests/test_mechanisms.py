@@ -179,3 +179,26 @@ def test_delimited_files_of_several_encodings_take_one_job(spark, tmp_path):
     (rows,) = delimited.read_delimited_grouped(spark, files).values()
     got = sorted((r.VOTOS, r.NOME) for r in rows.collect())
     assert len(got) == 15 and {n for v, n in got if v == "3"} == set(names) and {n for v, n in got if v == "1"} == {"São Paulo", "Açu x", "plain"}
+
+
+def test_name_pairs_match_all_pairs(spark):
+    from difflib import SequenceMatcher
+
+    from tallygrid.operators.similarity import matching_ratio, name_pairs
+
+    rng = random.Random(8)
+    parts = ["qt", "votos", "nm", "municipio", "cd", "eleitor", "secao", "sg", "uf", "perfil", "x", "aab", "ção"]
+    names = sorted({"_".join(rng.choice(parts) for _ in range(rng.randint(1, 3))) + rng.choice(["", "s", "_1"]) for _ in range(70)})
+    df = spark.createDataFrame([(rng.choice("pq"), n) for n in names] + [("p", n) for n in names[:20]], "s string, nome string").distinct()
+    scopes = {}
+    for r in df.collect():
+        scopes.setdefault(r.s, []).append(r.nome)
+    for ratio in (0.6, 0.85):
+        want = {
+            (s, a, b): round(SequenceMatcher(None, a, b).ratio(), 9)
+            for s, own in scopes.items() for a in own for b in own if a <= b and SequenceMatcher(None, a, b).ratio() >= ratio
+        }
+        assert {(r.s, r.a, r.b): round(r.similarity, 9) for r in name_pairs(df, "s", "nome", ratio).collect()} == want
+    odd = spark.createDataFrame([("", ""), ("", "a"), ("abcabc", "bcabca"), ("aaa", "aaaaa")], "a string, b string")
+    got = [r[0] for r in odd.select(matching_ratio(F.col("a"), F.col("b"))).collect()]
+    assert np.allclose(got, [SequenceMatcher(None, *r).ratio() for r in [("", ""), ("", "a"), ("abcabc", "bcabca"), ("aaa", "aaaaa")]])
