@@ -115,15 +115,22 @@ def test_components_of_paths_and_stars(spark):
     assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 160), 100)}
 
 
-def plain_contained(texts, items, percent=80):
-    import re
-
-    def grams(t):
-        words = [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
-        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
-
-    have = [grams(t) for t in texts]
-    return {(d, i, len(grams(t)), len(grams(t) & h)) for i, t in enumerate(items) for d, h in enumerate(have) if grams(t) and 100 * len(grams(t) & h) >= percent * len(grams(t))}
+def plain_contained(texts, items):
+    """Five-word shingles; an item of fewer words is its whole sequence, sought among windows of its length."""
+
+    def windows(words, n):
+        return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}
+
+    words_of = [[__import__("re").findall(r"[^\W_]+", (t or "").lower()) for t in group] for group in (texts, items)]
+    found = set()
+    for i, item in enumerate(words_of[1]):
+        width = min(5, len(item))
+        want = windows(item, width) if width else set()
+        for d, text in enumerate(words_of[0]):
+            both = len(want & windows(text, width)) if want else 0
+            if want and 100 * both >= 80 * len(want):
+                found.add((d, i, len(want), both))
+    return found
 
 
 def test_containment_matches_brute_force(spark):
