@@ -103,7 +103,8 @@ def v13(d):
     return sv.metrics_by_year(summary(d), uf="ASIA")
 
 
-@query("V14_table_preview")
+@query("V14_table_preview", """select * from l_summary order by ano, uf, cd_municipio, nm_municipio, qtd_secoes, eleitorado, comparecimento_estimado,
+  abstencao_estimado, cargo, turno limit 100""")
 def v14(d):
     return sv.table_preview(summary(d), 100)
 
