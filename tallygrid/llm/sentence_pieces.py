@@ -9,11 +9,13 @@ the score of the piece they make.
 
 A text is cut before every run of markers.  If no piece of the model has a marker behind
 another character, no piece can cross such a cut, so a text's ids are those of its cuts, one
-after the other.  The distinct cuts of a batch are encoded in one multithreaded call and kept
-for later batches (a bounded memory).  Each of them is also decoded, and encoded by the
-sentencepiece library.  `parity` says that both agree on every cut, `round_trip` that
-decoding gave every cut back.  Where the two disagree the text gets sentencepiece's ids.  A
-model with pieces across cuts is used on whole texts in the same way.
+after the other.  The distinct cuts of a batch are encoded in one multithreaded call of the backend and kept
+for later batches (up to `remember` bytes).  Each of them is also decoded, and encoded by the
+sentencepiece library.  The ids returned are the backend's; `parity` says that the library agrees on
+every cut, and a cut on which they differ gets the library's ids, so that false parity tells how often
+that was so.  `round_trip` says that decoding gave every cut back.  A model with pieces across cuts is
+used on whole texts in the same way, and each text is decoded and compared on its own.  Texts are
+encoded whole, whatever their length; repeated texts have equal rows; an empty table has none.
 
 Null texts have null ids and no tokens, and count as equal; empty texts have none.  Text that looks like
 a control piece ("<s>") is ordinary text.  Extra columns stay; clashing ones give way.
@@ -108,13 +110,16 @@ def _merges(model: Model) -> list[tuple[str, str]]:
 class Codec:
     """Encoder and decoder of one model, with a memory of cuts."""
 
-    def __init__(self, data: bytes, remember: int = 300_000):
+    def __init__(self, data: bytes, remember: int = 64 << 20):
         import sentencepiece
         from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
         self.model = model = Model(data)
-        self.remember = remember
-        self.known: dict[str, tuple[bytes, bool, bool]] = {}
+        self.remember, self.held = remember, 0
+        self.known: dict[str, bytes] = {}
+        #: Cuts of which the two libraries make different ids, and cuts that don't come back.
+        self.differ: set[str] = set()
+        self.lost: set[str] = set()
         if model.kind == BPE:
             vocab = {p: i for i, (p, _, _) in enumerate(model.pieces)}
             inner = models.BPE(vocab=vocab, merges=_merges(model), unk_token=model.pieces[model.unknown][0], fuse_unk=True, byte_fallback=model.byte_fallback)
@@ -139,31 +144,42 @@ class Codec:
         return [self.normal.normalize_str(text)]
 
     def _learn(self, cuts: list[str], plain: list[str]) -> None:
-        mine = [e.ids for e in self.backend.encode_batch(cuts, add_special_tokens=False)]
+        """Remember the backend's ids of new cuts; the library's only where the two differ, which `parity` then tells."""
+        ids = [e.ids for e in self.backend.encode_batch_fast(cuts, add_special_tokens=False)]
         theirs = self.other.encode(plain, num_threads=1)
         if self.model.by_cuts and "" in plain:  # a marker that ends a text: the library only makes it behind something
             theirs[plain.index("")] = self.other.encode("a ")[len(self.other.encode("a")) :]
-        back = self.decode(theirs)
-        for cut, text, a, b, again in zip(cuts, plain, mine, theirs, back, strict=True):
-            self.known[cut] = (np.array(b, "<i4").tobytes(), a == b, again == text)
+        for i, (cut, other) in enumerate(zip(cuts, theirs, strict=True)):
+            if ids[i] != other:
+                self.differ.add(cut)
+                ids[i] = other
+        for cut, text, each, again in zip(cuts, plain, ids, self.decode(ids), strict=True):
+            packed = struct.pack(f"<{len(each)}i", *each)
+            self.known[cut] = packed
+            self.held += len(packed) + 4 * len(cut) + 150  # about what an entry takes
+            if again != text:
+                self.lost.add(cut)
 
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, bool, bool]]:
         """For each text its ids (32-bit, packed), parity and round trip."""
         parts = [self.cuts(t or "") for t in texts]
-        if len(self.known) > self.remember:
-            self.known.clear()
+        if self.held > self.remember:
+            self.known, self.differ, self.lost, self.held = {}, set(), set(), 0
         new: dict[str, str] = {}
         for text, cuts in zip(texts, parts, strict=True):
-            for cut in cuts:
-                if cut not in self.known and cut not in new:
-                    new[cut] = cut[1:].replace(MARK, " ") if self.model.by_cuts else text
+            for cut in set(cuts).difference(self.known).difference(new):
+                new[cut] = cut[1:].replace(MARK, " ") if self.model.by_cuts else text
         if new:
             self._learn(list(new), list(new.values()))
         out = []
         for text, cuts in zip(texts, parts, strict=True):
-            got = [self.known[c] for c in cuts]
-            back = MARK not in (text or "") and all(g[2] for g in got)  # a marker in the text comes back as a space
-            out.append((b"".join(g[0] for g in got), all(g[1] for g in got), back))
+            ids = b"".join(map(self.known.__getitem__, cuts))
+            if self.model.by_cuts:
+                # A marker in the text comes back as a space.
+                back = MARK not in (text or "") and self.lost.isdisjoint(cuts)
+            else:
+                back = text is None or self.decode([np.frombuffer(ids, "<i4").tolist()])[0] == text
+            out.append((ids, self.differ.isdisjoint(cuts), back))
         return out
 
     def decode(self, ids: list[list[int]]) -> list[str]:

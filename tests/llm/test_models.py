@@ -157,3 +157,26 @@ def test_unigram_models_agree_with_the_library(squeeze):
     for text, (ids, _, _) in zip(texts, coder.encode(texts), strict=True):
         assert list(struct.unpack(f"<{len(ids) // 4}i", ids)) == other.encode(text), text
     assert all(parity for _, parity, _ in coder.encode(texts))
+
+
+def test_ids_are_the_backends_and_round_trips_are_per_text():
+    texts = ["a b", "a  b", " a b", "a b", None, ""]
+    for squeeze in (True, False):
+        coder = sentence_pieces.Codec(unigram_model(squeeze))
+        out = coder.encode(texts)
+        for text, (ids, parity, back) in zip(texts, out, strict=True):
+            own = coder.backend.encode(coder.cuts(text)[0], add_special_tokens=False).ids if text and not coder.model.by_cuts else None
+            unpacked = list(struct.unpack(f"<{len(ids) // 4}i", ids))
+            assert parity and own in (None, unpacked)
+            assert back == (coder.decode([unpacked])[0] == (text or ""))
+    assert [r[2] for r in sentence_pieces.Codec(unigram_model(True)).encode(texts)] == [True, False, False, True, True, True]
+
+
+def test_memory_of_cuts_is_bounded_and_changes_nothing():
+    data = unigram_model(False)
+    texts = [f"the ab {i} x{i}" for i in range(300)]
+    free, tight = sentence_pieces.Codec(data), sentence_pieces.Codec(data, remember=2000)
+    assert [r for t in texts for r in tight.encode([t])] == free.encode(texts)
+    assert tight.held < 4000 < free.held
+    free.differ.add(free.cuts("the ab 299 x299")[0])
+    assert not free.encode(["the ab 299 x299"])[0][1]  # a difference that was counted shows in parity

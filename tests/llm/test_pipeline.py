@@ -81,5 +81,5 @@ def test_every_operator_is_registered():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES} and set(QUERIES) | {"pipeline"} <= names
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES} and set(QUERIES) | {"pipeline"} <= names
     assert set(ORACLE) <= set(entry.oracle_sql())
