@@ -18,19 +18,31 @@ from tallygrid.llm.queries import MODEL
 from tallygrid.session import materialize
 
 
+#: Rows of a batch that Python workers get: documents are long, and a worker holds a batch several times over.
+BATCH_ROWS = 1000
+
+
+def _bounded(spark: SparkSession) -> None:
+    """Small batches for the session, so that a batch of long documents fits beside the executor's heap."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Operator 2: documents that the rules reject go."""
+    _bounded(spark)
     return quality_rules.keep(docs, table(spark, folder, "labels"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Operator 6: lines of ten documents or more go; n_chars follows the text."""
+    _bounded(spark)
     done = line_dedup.clean(docs)
     return done.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Operator 9: one document of each group of near duplicates stays."""
+    _bounded(spark)
     return ngram_join.keep_one(docs)
 
 
@@ -41,6 +53,7 @@ def contamination(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Operator 10: ids of every text, with the checks of the encoding."""
+    _bounded(spark)
     coded = sentence_pieces.encode(docs, sentence_pieces.read_model(MODEL))
     return coded.select("doc_id", "lang", "source", "n_chars", "n_tokens", "ids", "parity", "round_trip")
 
