@@ -45,9 +45,11 @@ CATEGORY_LABELS = {
     },
     # Codes 1600..2000 are single years, XXYY codes are the five-year bands.
     "perfil_faixa_etaria": {
-        **{f"{age}00": f"{age} anos" for age in range(16, 21)},
-        "2124": "21 a 24 anos",
-        **{f"{low}{low + 4}": f"{low} a {low + 4} anos" for low in range(25, 96, 5)},
+        "1600": "16 anos", "1700": "17 anos", "1800": "18 anos", "1900": "19 anos", "2000": "20 anos",
+        "2124": "21 a 24 anos", "2529": "25 a 29 anos", "3034": "30 a 34 anos", "3539": "35 a 39 anos",
+        "4044": "40 a 44 anos", "4549": "45 a 49 anos", "5054": "50 a 54 anos", "5559": "55 a 59 anos",
+        "6064": "60 a 64 anos", "6569": "65 a 69 anos", "7074": "70 a 74 anos", "7579": "75 a 79 anos",
+        "8084": "80 a 84 anos", "8589": "85 a 89 anos", "9094": "90 a 94 anos", "9599": "95 a 99 anos",
         "9999": "100 anos ou mais",
         **_UNKNOWN,
     },
