@@ -274,6 +274,13 @@ def b4(d):
     return matrix.select(*fixed, total.alias("soma_shares"))
 
 
-@query("B4_behaviour_matrix")
+_FIXED = f'{_U}, eleitorado, votos, taxa_abstencao, taxa_comparecimento, "OUTRAS_ENTIDADES"'
+
+
+@query("B4_behaviour_matrix", f"""
+  with w as (select {_U}, entidade_voto as e, sum(votos) as votos, max(eleitorado) as el, max(abstencao_estimado) as a, max(comparecimento_estimado) as c from panel group by all),
+  t as (select {_U}, max(el) as eleitorado, sum(votos) as votos, {frac('max(a)', 'max(el)')} as taxa_abstencao, {frac('max(c)', 'max(el)')} as taxa_comparecimento, 0::double as "OUTRAS_ENTIDADES" from w group by {_U}),
+  s as (select t.*, w.e, w.votos / nullif(t.votos, 0) as share from w join t using ({_U}))
+  select {_FIXED}, {r6('coalesce(columns(* exclude (' + _FIXED + ')), 0)')} from (pivot s on e using sum(share) group by {_FIXED})""")
 def b4full(d):
     return be.behaviour_matrix(be.behaviour_panel(d.base))
