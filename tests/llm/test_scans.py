@@ -5,6 +5,7 @@ import re
 
 import frames
 import pytest
+from pyspark.sql import functions as F
 
 from tallygrid.llm import html_paths, secrets, url_rules
 
@@ -146,6 +147,50 @@ def test_text_of_single_pages():
         assert html_paths.text_under(source, html_paths.best(html_paths.scores(source))) == text
 
 
+PROSE = "A sentence of the article with a fair number of words in it. " * 6
+WHOLE = {
+    "<div class='page with-sidebar'><div class='content'><p>{0}</p></div></div>": "{0}",
+    "<article class='post has-sidebar'><div class='entry no-sidebar'><p>{0}</p></div></article>": "{0}",
+    "<form><div><p>{0}</p></div><div class='sidebar'>Side</div></form>": "{0}",
+    "<article><p>{0}</p><div class='social-history'><p>Of the town.</p></div><section class='ad-hoc'><p>By chance.</p></section></article>": "{0} Of the town. By chance.",
+    "<article><p>{0} super<wbr>cali <img src=x>fragi<img src=y>listic</p></article>": "{0} supercali fragilistic",
+    "<article><p>Short one.</p></article><div class='comment-list'><p>{0}</p></div><div class='site-footer'>End</div><div class='cookie-banner'>Yes</div>": "Short one.",
+    "<form><article><p>Short one.</p></article><div id='comments'><p>{0}</p></div></form>": "Short one. {0}",
+    "<div class='sidebar'><h1>Head</h1><p>{0}</p></div><p>Tail.</p>": "Head {0}",
+    "<form>Name <input> Send</form>": "",
+}
+
+
+def test_names_and_forms_do_not_drop_articles():
+    for source, text in WHOLE.items():
+        source, text = page(source.format(PROSE)), text.format(PROSE.strip())
+        if "id='comments'" in source:
+            text = "Short one."
+        assert html_paths.text_under(source, html_paths.best(html_paths.scores(source))) == text
+
+
+def test_hosts_rule_on_parts_in_doubt(spark):
+    body = "<div class='content'><p>{0}</p></div><div id='comments'><p>{1}</p></div>"
+    rows = [(i, f"http://c.org/{i}", page(body.format(f"{PROSE}{i}", "I agree."))) for i in range(3)]
+    rows += [(3, "http://c.org/3", page(body.format("Few.", f"<b>3</b> {PROSE * 9}")))]  # by itself the page would read the comments
+    wrapped = "<div class='widget'><p>{0}</p></div><div class='content'><p>News.</p></div>"
+    rows += [(i, f"http://w.org/{i}", page(wrapped.format(f"{PROSE}{i}"))) for i in range(10, 13)] + [(13, "http://w.org/13", page(wrapped.format("Few.")))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"text": F.lit("own"), "n_chars": F.lit("own"), "path": F.lit("own"), "keep": F.lit("own")})
+    got = {r["page_id"]: r for r in html_paths.extract(pages.repartition(3)).collect()}
+    assert html_paths.text_under(rows[3][2], None).startswith("3 A sentence")
+    assert {i: got[i]["text"] for i in (0, 1, 2, 3)} == {0: f"{PROSE}0", 1: f"{PROSE}1", 2: f"{PROSE}2", 3: "Few."}
+    assert all(got[i]["text"].startswith(PROSE) for i in (10, 11, 12)) and got[13]["text"].startswith("Few.")
+    assert got[0]["path"] == "own" and got[0]["n_chars"] == len(got[0]["text"])
+
+
+def test_long_pages_are_read_whole(spark):
+    words = " ".join(f"w{i}" for i in range(200_000))
+    deep = "<div class='ad'>" * 3000 + "x" + "</div>" * 3000
+    rows = [(1, "http://l.org/1", page(f"<article><p>{words}</p></article>{deep}")), (2, "http://l.org/2", None), (3, None, "")]
+    got = {r["page_id"]: r["text"] for r in html_paths.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {1: words, 2: "", 3: ""}
+
+
 def test_hosts_agree_on_a_path(spark):
     long_text = "This is a sentence of the article with enough words in it. " * 5
     rows = [(i, f"http://h.org/{i}", page(f"<div class='x{i}'><p>{long_text}{i}</p></div><div class='teaser'><p>Other news here.</p></div>")) for i in range(8)]
