@@ -70,6 +70,35 @@ def test_types_and_values_in_force(text, literals):
     assert [text[a:b] for a, b in secrets.literal_spans(text)] == literals
 
 
+S = "zX9!kLm2Qw8r"
+FORMS = {
+    f'password = b"{S}"': [S], f"password = r'{S}'": [S], f"password = f'{S}'": [S], f'password = """{S}"""': [S], f"password = '''\n{S}\n'''": [S],
+    f'password = \\\n    "{S}"': [S], f'password = (\n    "{S}"\n)': [S], f'const secret =\n  "{S}";': [S], f'password = ("zX9!kL"\n  "m2Qw8r")\nx = 1': ["zX9!kL", "m2Qw8r"],
+    f"password: |\n  {S}\nother: x\n": [S], f"a:\n  password: >-\n    {S}\n  b: 1": [S], "password: |\n  some words here\n": [],
+    f'a, password = "x", "{S}"': [S], f'(user, password) = ("x", "{S}")\n': [S], f'password, region = "{S}", "eu-west-1-Prod7"\n': [S],
+    f'  user, password="{S}", region="eu-west-1-Prod7"\n': [S], f'a, b = "x", "{S}"\ntoken = b\n': [S],
+    f'db = os.getenv("DB_PASSWORD", "{S}")': [S], f'password = os.environ.get("DB", "{S}")': [S], f'password = env("X", default="{S}")': [S], f'a = env("HOME", "{S}")': [],
+    f'let a = process.env.API_SECRET || "{S}";': [S], f'password = os.environ["PW"] or "{S}"': [S], f"const token = cfg.x ?? '{S}'": [S], 'password = os.getenv("PASSWORD")': [],
+    f'A = "zX9!kLm2"\npassword = A + "Qw8r"\n': ["zX9!kLm2", "Qw8r"], f'password = unknown + "{S}"': [S], f'B = "Qw8r"\npassword = "zX9!kLm2" + B\n': ["Qw8r", "zX9!kLm2"],
+    f'#define API_KEY "{S}"\n': [S], f'#define NAME "{S}"\n': [], f"# define  DB_PASSWORD  '{S}'": [S], "password = a + b": [], "secret: dGhpc2+xyZ12QrS": ["dGhpc2+xyZ12QrS"], f'password = A+"{S}"': [S], 'password = "" + x': [],
+}
+
+
+@pytest.mark.parametrize("text", FORMS)
+def test_forms_of_literals(text):
+    found = [text[a:b] for a, b in secrets.literal_spans(text)]
+    assert sorted(found) == sorted(FORMS[text])
+    assert secrets.scan_text(text)[3] == hashlib.sha256(plain_base(text).encode()).hexdigest()
+
+
+def test_long_and_hostile_texts_end():
+    n = 20_000
+    for text in ("a," * n + "b=1", 'k = "x"\n' + "k = k + k + k\n" * 2000, 'x = """ ' * n, "a:|\n " * n, "password = (" * n, "x = y +\n" * n, 'p = g("' * n, "#define A " * n, "a =\n\n" * n, " " * n + "= " * n):
+        secrets.literal_spans(text)
+    text = "word " * 300_000 + f'password = "{S}"'
+    assert secrets.literal_spans(text) == [(len(text) - 1 - len(S), len(text) - 1)]
+
+
 def test_scan_on_odd_rows(spark):
     out = secrets.scan(frames.odd(spark))
     assert out.count() == 12 and out.where("spans <> ''").count() == 0 and out.where("base_sha256 is null").count() == 0
