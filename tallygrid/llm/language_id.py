@@ -2,13 +2,16 @@
 
 Texts are lower-cased; everything that isn't a letter becomes one space; n-grams of two and
 three characters are hashed into bins.  Tasks count bins per language over all learning rows
-and Spark adds the counts up.  The matrix of log probabilities is broadcast; its size is
-bounded by construction (bins are folded together until languages * bins fit).  Scoring
-gathers the matrix columns of a batch's n-grams and adds them up by text.
+and Spark adds the counts up.  The matrix of log probabilities has the same bins whatever the
+number of languages; it is broadcast in blocks of languages of at most `MATRIX_BYTES` each.
+Scoring gathers the matrix columns of a batch's n-grams and adds them up by text; a block gives
+its best language and the sum of its likelihoods, from which the posterior follows exactly.
 
 The score is the posterior of the predicted language.  A null text, or one without a letter,
 is `und` with score 0, as is every text if nothing could be learnt.  Ties go to the language that comes
-first by name.  Null languages are not learnt from.  Extra columns stay.
+first by name.  Null languages are not learnt from.  Repeated rows count and are predicted each; long
+texts are read whole; an empty table gives one.  Extra columns stay, own columns `lang_pred` and
+`score` give way.
 """
 
 from __future__ import annotations
@@ -97,70 +100,76 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Model:
-    """Languages and the matrix (bins x languages) of log probabilities; log priors."""
+    """Languages of a block and their matrix (bins x languages) of log probabilities; log priors among all `total` rows."""
 
-    def __init__(self, langs: list[str], counts: np.ndarray, rows: np.ndarray, smoothing: float = 0.5):
-        self.langs, self.bins = langs, counts.shape[1]
+    def __init__(self, langs: list[str], counts: np.ndarray, rows: np.ndarray, total: int | None = None, smoothing: float = 0.5):
+        self.langs = langs
         share = (counts + smoothing) / (counts + smoothing).sum(1, keepdims=True)
         self.logs = np.ascontiguousarray(np.log(share).T.astype(np.float32))
-        self.prior = np.log(rows / rows.sum())
+        self.prior = np.log(rows / (total or rows.sum()))
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        best, score = ["und"] * len(texts), [0.0] * len(texts)
-        if not self.langs:
-            return best, score
+    def predict(self, texts: list[str | None]) -> tuple[list[str | None], list[float | None], list[float | None]]:
+        """The best language of each text, its log likelihood, and the log of the sum over the languages; null without a letter."""
+        best, top, every = ([None] * len(texts) for _ in range(3))
         known = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))]
         for start, chunk in _chunks([texts[i] for i in known]):
             bins, owner = hashed(chunk)
             order = np.argsort(owner, kind="stable")
-            bins, owner = bins[order] & (self.bins - 1), owner[order]
+            bins, owner = bins[order], owner[order]
             total = np.tile(self.prior, (len(chunk), 1))
             firsts = np.flatnonzero(np.diff(owner, prepend=-1))
             for column in range(len(self.langs)):
                 total[owner[firsts], column] += np.add.reduceat(self.logs[bins, column], firsts, dtype=np.float64) if len(firsts) else 0
-            top = total.argmax(1)
-            chance = 1 / np.exp(total - total.max(1, keepdims=True)).sum(1)
+            first = total.argmax(1)
+            most = total.max(1)
+            summed = most + np.log(np.exp(total - most[:, None]).sum(1))
             for k in range(len(chunk)):
-                best[known[start + k]], score[known[start + k]] = self.langs[top[k]], float(chance[k])
-        return best, score
+                best[known[start + k]], top[known[start + k]], every[known[start + k]] = self.langs[first[k]], float(most[k]), float(summed[k])
+        return best, top, every
 
 
-def learn(docs: DataFrame) -> Model:
-    """Learn from all rows of (lang, text) with a language; only a bounded matrix reaches the driver."""
+def learn(docs: DataFrame, matrix_bytes: int = MATRIX_BYTES) -> list[Model]:
+    """Learn from all rows of (lang, text) with a language; one bounded matrix at a time reaches the driver."""
     rows = docs.where("lang is not null").select("lang", "text")
     counted = rows.mapInArrow(_count, "lang string, bin long, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
     counted = materialize(counted, "language-counts")
-    n_langs = counted.where("bin = -1").count()
-    bins = BINS
-    while bins > 64 and n_langs * bins * 4 > MATRIX_BYTES:
-        bins //= 2
-    if n_langs * bins * 4 > MATRIX_BYTES:
-        raise ValueError(f"{n_langs} languages don't fit into {MATRIX_BYTES} bytes")
-    folded = F.when(F.col("bin") >= 0, F.col("bin").bitwiseAND(F.lit(bins - 1))).otherwise(F.col("bin"))
-    found = counted.groupBy("lang", folded.alias("bin")).agg(F.sum("n").alias("n")).toPandas()
-    langs = sorted(found["lang"].unique())
-    number = found["lang"].map({v: i for i, v in enumerate(langs)}).to_numpy(np.int64)
-    bin_, n = found["bin"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
-    counts, docs_of = np.zeros((len(langs), bins), np.int64), np.zeros(len(langs), np.int64)
-    counts[number[bin_ >= 0], bin_[bin_ >= 0]] = n[bin_ >= 0]
-    docs_of[number[bin_ < 0]] = n[bin_ < 0]
-    return Model(langs, counts, docs_of)
-
-
-_OUT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-
-
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents with `lang_pred` and `score`, from the text alone."""
+    seen = {r["lang"]: r["n"] for r in counted.where("bin = -1").collect()}
+    langs, total = sorted(seen), sum(seen.values())
+    size = max(matrix_bytes // (4 * BINS), 1)
+    models = []
+    for i in range(0, len(langs), size):
+        block = langs[i : i + size]
+        found = counted.where((F.col("bin") >= 0) & F.col("lang").between(block[0], block[-1])).toPandas()
+        counts = np.zeros((len(block), BINS), np.int64)
+        counts[found["lang"].map({v: k for k, v in enumerate(block)}).to_numpy(np.int64), found["bin"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+        models.append(Model(block, counts, np.array([seen[v] for v in block]), total))
+    return models
+
+
+_OUT = T.StructType([T.StructField("lang", T.StringType()), T.StructField("top", T.DoubleType()), T.StructField("every", T.DoubleType())])
+
+
+def _predictor(docs: DataFrame, model: Model):  # noqa: ANN202
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf(returnType=_OUT)
     def run(texts: pa.Array) -> pa.Array:
-        best, score = sent.value.predict(texts.to_pylist())
-        return pa.StructArray.from_arrays([pa.array(best, pa.string()), pa.array(score, pa.float64())], ["lang_pred", "score"])
+        best, top, every = sent.value.predict(texts.to_pylist())
+        return pa.StructArray.from_arrays([pa.array(best, pa.string()), pa.array(top, pa.float64()), pa.array(every, pa.float64())], ["lang", "top", "every"])
+
+    return run.asNondeterministic()
 
+
+def predict(docs: DataFrame, models: list[Model]) -> DataFrame:
+    """The documents with `lang_pred` and `score`, from the text alone."""
     own = [c for c in docs.columns if c not in ("lang_pred", "score", "_out")]
-    return docs.select(*own, run.asNondeterministic()(F.col("text")).alias("_out")).select(*own, "_out.*")
+    if not models:
+        return docs.select(*own, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+    blocks = F.array(*[_predictor(docs, m)(F.col("text")) for m in models])
+    first = F.array_min(F.transform("_out", lambda b: F.struct((-b["top"]).alias("lost"), b["lang"].alias("lang"))))
+    others = F.aggregate("_out", F.lit(0.0), lambda s, b: s + F.exp(b["every"] + first["lost"]))
+    out = docs.select(*own, blocks.alias("_out"))
+    return out.select(*own, F.coalesce(first["lang"], F.lit("und")).alias("lang_pred"), F.coalesce(F.least(1 / others, F.lit(1.0)), F.lit(0.0)).alias("score"))
 
 
 def split_and_predict(docs: DataFrame, held_out: Column) -> DataFrame:

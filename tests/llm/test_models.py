@@ -43,12 +43,38 @@ def test_language_scores_match_plain_sums():
     texts = [t for t, _ in sentences(9)]
     counts = np.array([np.bincount(language_id.hashed([SAMPLES[x]])[0], minlength=language_id.BINS) for x in SAMPLES])
     model = language_id.Model(list(SAMPLES), counts, np.array([3, 2, 1]))
-    best, _ = model.predict(texts)
+    best, _, _ = model.predict(texts)
     for text, lang in zip(texts, best, strict=True):
         sums = model.prior + model.logs[language_id.hashed([text])[0]].sum(0)
         assert lang == list(SAMPLES)[int(sums.argmax())]
 
 
+def test_language_is_the_same_in_blocks_of_languages(spark):
+    import numpy as np
+
+    rows = sentences(120)
+    docs = frames.documents(spark, [t for t, _ in rows] + ["12 3", None], [f"{x}{i % 3}" for i, (_, x) in enumerate(rows)] + ["en", "en"]).repartition(4)
+    whole = {r["doc_id"]: r for r in language_id.predict(docs, language_id.learn(docs)).collect()}
+    models = language_id.learn(docs, matrix_bytes=4 * language_id.BINS)
+    assert len(models) == 4 and all(m.logs.shape == (language_id.BINS, 1) for m in models)
+    split = {r["doc_id"]: r for r in language_id.predict(docs, models).collect()}
+    assert {i: r["lang_pred"] for i, r in whole.items()} == {i: r["lang_pred"] for i, r in split.items()}
+    assert all(whole[i]["score"] == pytest.approx(split[i]["score"], abs=1e-9) for i in whole)
+    assert [split[i]["lang_pred"] for i in (120, 121)] == ["und", "und"]
+    for i, (text, _) in enumerate(rows):  # against plain sums over all languages
+        bins = language_id.hashed([text])[0]
+        sums = {m.langs[0]: float(m.prior[0] + m.logs[bins, 0].sum(dtype=np.float64)) for m in models}
+        best = min(sums, key=lambda k: (-sums[k], k))
+        assert whole[i]["lang_pred"] == best and whole[i]["score"] == pytest.approx(1 / sum(np.exp(v - sums[best]) for v in sums.values()), abs=1e-6)
+
+
+def test_language_of_long_texts_and_clashing_columns(spark):
+    rows = sentences(60)
+    docs = frames.documents(spark, [t for t, _ in rows] + ["ä" + " das haus und der garten" * 60_000], [x for _, x in rows] + ["de"]).withColumns({"lang_pred": F.lit("own"), "_out": F.lit("own")})
+    got = language_id.predict(docs.unionByName(docs.where("doc_id = 60")), language_id.learn(docs)).where("doc_id = 60").collect()
+    assert [r["lang_pred"] for r in got] == ["de", "de"] and all(0.99 < r["score"] <= 1 and r["n_words"] == "own" for r in got)
+
+
 def test_language_on_odd_rows(spark):
     out = language_id.split_and_predict(frames.odd(spark), F.col("doc_id") == 4).collect()
     assert len(out) == 12
