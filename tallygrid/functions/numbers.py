@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 from .words import NUMBER_NULL_WORDS
 
 _PLAIN_NUMBER = r"^[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?$"
+# Points between thousands; the other form has a decimal comma, with or without such points.
+_GROUPED = r"^[-+]?\d{1,3}(\.\d{3})+$"
+_READABLE = r"^[-+]?((\d{1,3}(\.\d{3})+|\d+),\d+|(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?|\d{1,3}(\.\d{3})+)$"
 
 
 def _as_double(text: Column) -> Column:
@@ -29,17 +32,23 @@ def number(df: DataFrame, name: str) -> Column:
     return metric(name)
 
 
+def _compact(c: Column | str) -> Column:
+    return F.translate(F.trim(_col(c).cast("string")), "\u00a0 ", "")
+
+
+def reads_as_number(c: Column | str) -> Column:
+    """Whether `parse_number` reads a number there; one pattern, never null."""
+    return F.coalesce(_compact(c).rlike(_READABLE), F.lit(False))
+
+
 def parse_number(c: Column | str) -> Column:
-    """Locale-aware: grouped thousands and decimal commas are understood, junk is null."""
-    text = F.regexp_replace(F.trim(_col(c).cast("string")), "[\\u00a0 ]", "")
-    no_dots = F.replace(text, F.lit("."), F.lit(""))
-    readable = (
-        F.when(text.rlike(r"^[-+]?\d{1,3}(\.\d{3})+,\d+$"), F.replace(no_dots, F.lit(","), F.lit(".")))
-        .when(text.rlike(r"^[-+]?\d+,\d+$"), F.replace(text, F.lit(","), F.lit(".")))
-        .when(text.rlike(r"^[-+]?\d{1,3}(\.\d{3})+$"), no_dots)
-        .otherwise(text)
-    )
-    return F.when(~F.lower(text).isin(NUMBER_NULL_WORDS), _as_double(readable))
+    """Locale-aware: grouped thousands and decimal commas are understood, junk is null.
+
+    The text is mentioned few times, as every mention is work of its own in a condition.
+    """
+    text = _compact(c)
+    point = F.when(F.contains(text, F.lit(",")), F.translate(text, ",.", ".")).when(text.rlike(_GROUPED), F.translate(text, ".", ""))
+    return F.when(text.rlike(_READABLE), point.otherwise(text).try_cast("double"))
 
 
 def parse_number_lenient(c: Column | str) -> Column:

@@ -63,3 +63,21 @@ def test_roles(name, role):
 def test_role_choice_prefers_names_over_codes(spark):
     rows = spark.createDataFrame([("13", "PT", ""), ("15", "", "MDB nome")], "NR_PARTIDO string, SG_PARTIDO string, NM_PARTIDO string")
     assert [r.v for r in rows.select(roles.resolve_role(rows.columns, "partido").alias("v")).collect()] == ["PT", "MDB nome"]
+
+
+def test_numbers_and_names_take_few_looks_at_a_value(spark):
+    """Each reader's expression stays small, as conditions evaluate every mention anew; the values stay as documented."""
+    def size(column):
+        plan = spark.range(1).select(F.lit("x").alias("x")).select(column.alias("v"))._jdf.queryExecution().analyzed().toString()
+        return plan.count("x#")
+
+    assert size(numbers.parse_number("x")) < 10
+    raw = ["16", "17", "20", "24", "25", "79", "80", "120", "121", "15", "x", None, "33,9", "-5"]
+    assert values(spark, labels.age_band, raw)[:8] == [
+        "16 a 17 anos", "16 a 17 anos", "18 a 20 anos", "21 a 24 anos", "25 a 29 anos", "75 a 79 anos", "80 anos ou mais", "80 anos ou mais"]
+    assert values(spark, labels.age_band, raw)[8:] == ["Codigo 121", "Codigo 15", "", "", "30 a 34 anos", "Codigo -5"]
+    raw = ["1.234.567,8", "-1.234", "+12,5", ".5", "1e3", "1.23", "1,2,3", "1 234,5", "n/a", "12."]
+    assert values(spark, numbers.parse_number, raw) == [1234567.8, -1234.0, 12.5, 0.5, 1000.0, 1.23, None, 1234.5, None, 12.0]
+    assert values(spark, numbers.reads_as_number, [*raw, None]) == [True, True, True, True, True, True, False, True, False, True, False]
+    names = spark.createDataFrame([("9", "", "ANA"), ("", "12", "7"), ("7", "BIA", ""), ("", "", "")], "NR_CANDIDATO string, NM_URNA_CANDIDATO string, NM_CANDIDATO string")
+    assert [r.v for r in names.select(roles.resolve_role(names.columns, "candidato").alias("v")).collect()] == ["ANA", "12", "BIA", ""]
