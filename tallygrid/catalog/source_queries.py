@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import profiling
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import delimited, files, roles, silver, tables
 from .base import Data, ok, query
 from .correlated_queries import _PEOPLE_PATH, _RESULT_PATH
@@ -93,9 +93,10 @@ def i2(d):
 @query("I3_discover_files", "select distinct 'resultados' as dominio_documento, 'dados' as tipo_arquivo_json, cast(year(o_orderdate) as varchar) as ano_arquivo from orders")
 def i3(d):
     root = scratch_path(d.spark, "documentos")
-    rows = d.results.select(F.concat(F.lit("votacao_secao_"), "ano").alias("doc"), F.lit("JSON").alias("JSON"), "votos")
+    # Every task writes what it joined: one task that writes a year would have to join it alone.
+    rows = materialize(d.results.select("ano", "votos"), "votos")
     for year in [str(y) for y in range(1995, 2002)]:
-        rows.filter(F.col("doc").endswith(year)).select("votos").coalesce(1).write.json(f"{root}/votacao_secao_{year}/JSON")
+        rows.filter(F.col("ano") == year).select("votos").write.json(f"{root}/votacao_secao_{year}/JSON")
     return files.discover_files(d.spark, root).select("dominio_documento", "tipo_arquivo_json", "ano_arquivo").distinct()
 
 

@@ -202,3 +202,18 @@ def test_name_pairs_match_all_pairs(spark):
     odd = spark.createDataFrame([("", ""), ("", "a"), ("abcabc", "bcabca"), ("aaa", "aaaaa")], "a string, b string")
     got = [r[0] for r in odd.select(matching_ratio(F.col("a"), F.col("b"))).collect()]
     assert np.allclose(got, [SequenceMatcher(None, *r).ratio() for r in [("", ""), ("", "a"), ("abcabc", "bcabca"), ("aaa", "aaaaa")]])
+
+
+def test_written_years_are_not_joined_by_one_task_each(spark, monkeypatch):
+    """A year's documents are written by the tasks that hold its rows."""
+    from tallygrid.catalog import load
+    from tallygrid.sources import files
+
+    found, seen = files.discover_files, []
+    monkeypatch.setattr(files, "discover_files", lambda s, root: seen.append(found(s, root)) or seen[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        load()[0]["I3_discover_files"](spark, "/root/testdata/sf0.001")
+        assert all(r["count"] > 1 for r in seen[0].groupBy("ano_arquivo").count().collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
