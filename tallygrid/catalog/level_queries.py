@@ -213,7 +213,9 @@ def entity_profile_sql(level, top=10, r6=r6):
 
 
 def entity_profile_table(d: Data, level: str, top: int | None = 10):
-    return proxy.profile_entity_level(parts(d), level, top=top)
+    if top is None:
+        return proxy.profile_entity_level(parts(d), level, top=None)
+    return proxy.leading_profiles(d.electorate, d.results, [level], top=top)[0]
 
 
 def _register_entity_profile(level):
@@ -240,7 +242,7 @@ _ES = "nivel, ano, uf, cd_municipio, cargo, turno, entidade"
            row_number() over (partition by {_ES} order by round(votos, 6) desc, perfil_combinado) as rank_perfil_entidade_ano from ({_ALL}))
   where rank_perfil_entidade_ano <= 10""")
 def l10(d):
-    return proxy.profile_entity_all_levels(parts(d))
+    return proxy.leading_profiles_all_levels(d.electorate, d.results)
 
 
 _TOP_ALL = " union all ".join(
@@ -271,7 +273,7 @@ _PE = "nivel, ano, uf, cd_municipio, nm_municipio, cargo, turno, entidade, perfi
 
 @query("L13_profile_entity_union", " union all ".join(f"select {_PE} from ({entity_profile_sql(lv)})" for lv in LEVELS), drop=("descricao",))
 def l13(d):
-    return proxy.profile_entity_union([entity_profile_table(d, lv) for lv in LEVELS])
+    return proxy.profile_entity_union(proxy.leading_profiles(d.electorate, d.results, LEVELS))
 
 
 # ---- L14 - L20 ------------------------------------------------------------------------

@@ -8,6 +8,7 @@ entity, whatever the number of its sections.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +18,8 @@ from ..functions.numbers import number, ratio
 from ..functions.text import profile_combo, valid
 from ..model import ELECTORAL, Spec
 from ..session import materialize
-from .blocks import sum_of_products
-from .core import by_level, roll_up, share_of_total, share_within, top_ranked, with_totals
+from .blocks import leading_products, sum_of_products
+from .core import by_level, level_location, roll_up, share_of_total, share_within, top_ranked, with_totals
 from .order_statistics import ranked_spread
 
 
@@ -58,19 +59,32 @@ def proxy_parts(electorate: DataFrame, results: DataFrame, entity: str = "partid
     return out.select(*spec.place_keys, *spec.contest, "entidade", "perfil_combinado", spec.place_name, "votos_proxy")
 
 
-def profile_entity_level(parts: DataFrame, level: str, entity: str = "partido", spec: Spec = ELECTORAL, top: int | None = 10) -> DataFrame:
-    """Profiles behind every entity of a level: totals, entity rank, leader, share, top rows.
+def leading_cells(electorate: DataFrame, results: DataFrame, levels: Sequence[str], top: int, entity: str = "partido", spec: Spec = ELECTORAL) -> dict[str, DataFrame] | None:
+    """Per level: votes of the profiles that can be an entity's `top`, with the entity's total as `votos_entidade_total`.
 
-    Proxy votes are sums of fractions, so ranks compare them at six decimals: the order in
-    which partial sums arrive cannot change a rank.
+    Every level is a product over its own sections, cut where it is multiplied, so the cells of all
+    profiles and entities of all places are never written.  That needs head counts that are not
+    negative (parts of a place would cancel out): None if there are any.
     """
-    contest_scope = [*spec.level_scope(level), *spec.contest]
+    keys = list(spec.section_keys)
+    heads = materialize(section_combos(electorate, keys, spec), "section-combos")
+    if not heads.filter(F.col("eleitorado_perfil") < 0).isEmpty():
+        return None
+    shares = materialize(section_shares(results, entity, spec), "section-shares")
+    names = electorate.dropna(subset=spec.place_keys).groupBy(*spec.place_keys).agg(F.max(spec.place_name).alias(spec.place_name))
+    out = {}
+    for level in levels:
+        scope = spec.level_scope(level)
+        inner = [k for k in keys if k not in scope]
+        cells = leading_products(heads, shares, scope, inner, ["perfil_combinado"], [*spec.contest, "entidade"], "eleitorado_perfil", "share_secao", "votos", "votos_entidade_total", top)
+        if level == "municipio":
+            cells = cells.join(names, spec.place_keys)
+        out[level] = cells.withColumns(level_location(level, spec))
+    return out
+
+
+def _profiles_of_entities(cells: DataFrame, entities: DataFrame, contest_scope: Sequence[str], entity: str, top: int | None) -> DataFrame:
     entity_scope = [*contest_scope, "entidade"]
-    rows = parts.filter(valid("perfil_combinado") & valid("entidade") & (F.col("votos_proxy") > 0))
-    cells = roll_up(rows, level, [*spec.contest, "entidade", "perfil_combinado"], [F.sum("votos_proxy").alias("votos")], spec)
-    # Read for the entities' totals and for their profiles: the proxy is multiplied once.
-    cells = materialize(cells, "proxy-cells")
-    entities = cells.groupBy(*entity_scope).agg(F.sum("votos").alias("votos_entidade_total"))
     entities = with_totals(entities, contest_scope, votos_lider=F.max("votos_entidade_total"))
     entities = ranked_spread(entities, contest_scope, F.round("votos_entidade_total", 6), ["entidade"], "rank_entidade")
     ranked = top_ranked(cells, entity_scope, F.round("votos", 6), ["perfil_combinado"], "rank_perfil_entidade_ano", top)
@@ -84,6 +98,48 @@ def profile_entity_level(parts: DataFrame, level: str, entity: str = "partido",
     ).withColumn("descricao", narrative.entity_profile_text())
 
 
+def leading_profiles(electorate: DataFrame, results: DataFrame, levels: Sequence[str], entity: str = "partido", spec: Spec = ELECTORAL, top: int = 10) -> list[DataFrame]:
+    """`profile_entity_level` of every given level, from sections instead of written parts."""
+    found = leading_cells(electorate, results, levels, top, entity, spec)
+    if found is None:
+        parts = materialize(proxy_parts(electorate, results, entity, spec), "proxy-parts")
+        return [profile_entity_level(parts, level, entity, spec, top) for level in levels]
+    out = []
+    for level, cells in found.items():
+        contest_scope = [*spec.level_scope(level), *spec.contest]
+        entities = cells.groupBy(*contest_scope, "entidade").agg(F.max("votos_entidade_total").alias("votos_entidade_total"))
+        out.append(_profiles_of_entities(cells.drop("votos_entidade_total"), entities, contest_scope, entity, top))
+    return out
+
+
+def leading_profiles_all_levels(electorate: DataFrame, results: DataFrame, entity: str = "partido", spec: Spec = ELECTORAL, top: int = 10) -> DataFrame:
+    """`profile_entity_all_levels` from sections instead of written parts."""
+    found = leading_cells(electorate, results, list(spec.levels), top, entity, spec)
+    if found is None:
+        return profile_entity_all_levels(proxy_parts(electorate, results, entity, spec), entity, spec, top)
+    cells = reduce(DataFrame.unionByName, found.values())
+    scope = ["nivel", spec.period, spec.state, spec.place, *spec.contest, "entidade"]
+    shares = cells.withColumn("share_perfil_na_entidade", ratio("votos", "votos_entidade_total")).drop("votos_entidade_total")
+    ranked = top_ranked(shares, scope, F.round("votos", 6), ["perfil_combinado"], "rank_perfil_entidade_ano", top)
+    return ranked.withColumn("tipo_entidade", F.lit(entity))
+
+
+def profile_entity_level(parts: DataFrame, level: str, entity: str = "partido", spec: Spec = ELECTORAL, top: int | None = 10) -> DataFrame:
+    """Profiles behind every entity of a level: totals, entity rank, leader, share, top rows.
+
+    Proxy votes are sums of fractions, so ranks compare them at six decimals: the order in
+    which partial sums arrive cannot change a rank.
+    """
+    contest_scope = [*spec.level_scope(level), *spec.contest]
+    entity_scope = [*contest_scope, "entidade"]
+    rows = parts.filter(valid("perfil_combinado") & valid("entidade") & (F.col("votos_proxy") > 0))
+    cells = roll_up(rows, level, [*spec.contest, "entidade", "perfil_combinado"], [F.sum("votos_proxy").alias("votos")], spec)
+    # Read for the entities' totals and for their profiles: the proxy is multiplied once.
+    cells = materialize(cells, "proxy-cells")
+    entities = cells.groupBy(*entity_scope).agg(F.sum("votos").alias("votos_entidade_total"))
+    return _profiles_of_entities(cells, entities, contest_scope, entity, top)
+
+
 def profile_entity_all_levels(parts: DataFrame, entity: str = "partido", spec: Spec = ELECTORAL, top: int = 10) -> DataFrame:
     """All three levels from one pass over the parts, top profiles of every entity."""
     rows = parts.filter(valid("perfil_combinado") & valid("entidade"))

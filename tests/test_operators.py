@@ -160,3 +160,38 @@ def test_refresh_leaves_finished_slices(spark, tmp_path):
     tables.incremental_refresh(df.filter("ano = '2020'"), lambda r: r, out, manifest, "v1")
     tables.incremental_refresh(df, lambda r: r.withColumn("v", F.col("v") * 10), out, manifest, "v1")
     assert sorted((r.v) for r in spark.read.parquet(out).collect()) == [1, 20]
+
+
+def test_leading_products_keep_what_a_rank_needs(spark):
+    """Cells are cut inside a scope's only block; ranks and totals are those of all cells, also over several blocks."""
+    import numpy as np
+
+    from tallygrid.operators.blocks import leading_products, sum_of_products
+
+    rng = np.random.default_rng(1)
+    left = spark.createDataFrame([(s, k, f"p{p}", float(rng.integers(1, 9))) for s in "ab" for k in range(5) for p in range(40)], "s string, k int, p string, a double")
+    right = spark.createDataFrame([(s, k, e, float(rng.random())) for s in "ab" for k in range(5) for e in "xyz"], "s string, k int, e string, b double")
+    args = (left, right, ["s"], ["k"], ["p"], ["e"], "a", "b", "v")
+    whole = sum_of_products(*args).collect()
+    for per_block in (512, 2):
+        found = leading_products(*args, "total", 3, keys_per_block=per_block).collect()
+        assert len(found) < len(whole) or per_block == 2
+        for s in "ab":
+            for e in "xyz":
+                best = sorted(((-round(r.v, 6), r.p) for r in whole if (r.s, r.e) == (s, e)))[:3]
+                assert sorted(((-round(r.v, 6), r.p) for r in found if (r.s, r.e) == (s, e)))[:3] == best
+                total = sum(r.v for r in whole if (r.s, r.e) == (s, e))
+                assert all(abs(r.total - total) < 1e-6 for r in found if (r.s, r.e) == (s, e))
+
+
+def test_negative_heads_take_the_plain_way(spark):
+    """A municipality whose parts cancel out counts as in the table of parts."""
+    people = electorate(spark)
+    turned = people.withColumn("eleitorado", F.when(F.col("zona") == people.first()["zona"], -F.col("eleitorado")).otherwise(F.col("eleitorado")))
+    assert proxy.leading_cells(turned, results(spark), ["estado"], 10) is None
+    for given in (people, turned):
+        parts = proxy.proxy_parts(given, results(spark))
+        for level, found in zip(("municipio", "brasil"), proxy.leading_profiles(given, results(spark), ["municipio", "brasil"]), strict=True):
+            keep = ["entidade", "perfil_combinado", "cargo", "turno", "rank_entidade", "rank_perfil_entidade_ano"]
+            wanted = proxy.profile_entity_level(parts, level, top=10).select(*keep)
+            assert sorted(map(tuple, found.select(*keep).collect()), key=str) == sorted(map(tuple, wanted.collect()), key=str)
