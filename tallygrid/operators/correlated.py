@@ -15,7 +15,7 @@ from ..functions.text import (
     correlation_year, entity_label, has_text, path_year, path_years, safe_text, section_codes,
 )
 from ..model import ELECTORAL, Spec
-from .core import distinct_text, period_pairs, share_within, sums, text_list, top_ranked, unpivot
+from .core import period_pairs, share_within, sums, text_list, top_ranked, unpivot
 from .order_statistics import pair_correlations
 
 SECTOR_KEYS = [
@@ -254,26 +254,35 @@ def entity_share_correlation(timeline_entities: DataFrame, min_rows: int = 3, sp
 
 def file_inventory(gold: DataFrame, spec: Spec = ELECTORAL) -> DataFrame:
     """Periods, places and offices found in every source."""
+    return _inventory(gold, spec)
+
+
+def _inventory(gold: DataFrame, spec: Spec, *more: Column) -> DataFrame:
+    """The inventory and further aggregates of every source, from one pass over the rows.
+
+    Periods, places and offices of a source are vocabularies, so they are collected as sets beside the counts.
+    """
     source = "arquivo_origem"
     year = F.col(spec.period).try_cast("int")
-    rows = gold.withColumn("__y", F.when(year.between(1900, 2100), year))
+    rows = gold.withColumn("__y", F.when(year.between(1900, 2100), year)).withColumn("__t", F.col("__y").cast("string"))
+
+    def distinct(c: str) -> Column:
+        return F.size(F.collect_set(F.nullif(F.col(c), F.lit("")))).cast("long")
+
     out = rows.groupBy(source).agg(
-        F.min("__y").alias("__min"), F.max("__y").alias("__max"), F.countDistinct("__y").alias("qtd_anos"),
-        F.countDistinct(F.nullif(F.col(spec.state), F.lit(""))).alias("ufs"),
-        F.countDistinct(F.nullif(F.col(spec.place), F.lit(""))).alias("municipios"),
-        F.count(F.lit(1)).alias("linhas_gold"),
+        F.min("__y").alias("__min"), F.max("__y").alias("__max"), F.size(F.collect_set("__y")).cast("long").alias("qtd_anos"),
+        distinct(spec.state).alias("ufs"), distinct(spec.place).alias("municipios"), F.count(F.lit(1)).alias("linhas_gold"),
+        text_list("__t", ", ").alias("anos_detectados_conteudo"), text_list(spec.contest[0], ", ").alias("cargos"), *more,
     )
-    years = distinct_text(rows.withColumn("__t", F.col("__y").cast("string")), [source], "__t", "anos_detectados_conteudo", separator=", ")
-    offices = distinct_text(rows, [source], spec.contest[0], "cargos", separator=", ")
+    extra = out.columns[9:]  # after the source and the eight above
     named = path_years(source)
-    out = out.join(years, source, "left").join(offices, source, "left")
     return out.select(
         source,
         F.coalesce("anos_detectados_conteudo", F.lit("")).alias("anos_detectados_conteudo"),
         F.array_join(named, ", ").alias("anos_detectados_nome"),
         F.coalesce("__min", F.get(named, F.lit(0)).cast("int")).alias("ano_min"),
         F.coalesce("__max", F.try_element_at(named, F.lit(-1)).cast("int")).alias("ano_max"),
-        "qtd_anos", "ufs", "municipios", F.coalesce("cargos", F.lit("")).alias("cargos"), "linhas_gold",
+        "qtd_anos", "ufs", "municipios", F.coalesce("cargos", F.lit("")).alias("cargos"), "linhas_gold", *extra,
     )
 
 
@@ -292,10 +301,8 @@ def file_year_matrix(inventory: DataFrame, years: Sequence[str] | None = None) -
 
 def traceability(gold: DataFrame, spec: Spec = ELECTORAL) -> DataFrame:
     """What every source contributed to the projection."""
-    out = file_inventory(gold, spec)
-    votes = gold.groupBy("arquivo_origem").agg(F.sum("votos").alias("votos_soma"))
     return (
-        out.join(votes, "arquivo_origem")
+        _inventory(gold, spec, F.sum("votos").alias("votos_soma"))
         .withColumnRenamed("anos_detectados_conteudo", "anos_usados")
         .drop("anos_detectados_nome", "qtd_anos")
         .withColumn("uso_na_simulacao", F.lit("alimenta base_modelagem, swing histórico, timeline e Monte Carlo"))

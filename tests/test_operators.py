@@ -195,3 +195,17 @@ def test_negative_heads_take_the_plain_way(spark):
             keep = ["entidade", "perfil_combinado", "cargo", "turno", "rank_entidade", "rank_perfil_entidade_ano"]
             wanted = proxy.profile_entity_level(parts, level, top=10).select(*keep)
             assert sorted(map(tuple, found.select(*keep).collect()), key=str) == sorted(map(tuple, wanted.collect()), key=str)
+
+
+def test_inventory_and_traceability_read_their_rows_once(spark):
+    from tallygrid.operators import correlated as co
+
+    rows = [("a_2020.json", "2020", "X", "1", "PREFEITO", 2.0), ("a_2020.json", "2018", "", "2", "", 3.0), ("a_2020.json", "2018", "Y", "2", "GOV", 0.0), ("b_2016.json", "x", None, "", None, 1.0)]
+    gold = spark.createDataFrame(rows, "arquivo_origem string, ano string, uf string, cd_municipio string, cargo string, votos double")
+    for out in (co.file_inventory(gold), co.traceability(gold)):
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") + out._jdf.queryExecution().optimizedPlan().toString().count("LocalRelation") == 1
+    got = {r.arquivo_origem: r for r in co.traceability(gold).collect()}
+    a, b = got["a_2020.json"], got["b_2016.json"]
+    assert (a.anos_usados, a.ano_min, a.ano_max, a.ufs, a.municipios, a.cargos, a.linhas_gold, a.votos_soma) == ("2018, 2020", 2018, 2020, 2, 2, "GOV, PREFEITO", 3, 5.0)
+    assert (b.anos_usados, b.ano_min, b.ano_max, b.ufs, b.municipios, b.cargos, b.linhas_gold, b.votos_soma) == ("", 2016, 2016, 0, 0, "", 1, 1.0)
+    assert [(r.arquivo_origem, r.qtd_anos) for r in co.file_inventory(gold).orderBy("arquivo_origem").collect()] == [("a_2020.json", 2), ("b_2016.json", 0)]
