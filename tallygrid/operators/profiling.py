@@ -1,13 +1,15 @@
 """What the columns of a table hold, from one pass over distinct values.
 
-The table is turned into (column, value, rows) once.  Ties collapse before the shuffle, so
-a column with one dominant value costs one row per task, and every text test below runs
-once per distinct value.
+The table is turned into (column, value, rows) once, a column at a time: files are read by
+column, so that is one pass over their bytes.  Ties collapse before the shuffle, so a column
+with one dominant value costs one row per task, and every text test below runs once per
+distinct value.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from ..functions.labels import field_label, label_category
 from ..functions.numbers import parse_number, parse_number_lenient, ratio
 from ..functions.text import years_in
 from ..functions.words import CATEGORY_LABELS, CATEGORY_NULL_WORDS
+from ..session import materialize
 from ..sources.roles import DIMENSION_ROLES, METRIC_ROLES, canonical_field, is_code_like, normalize_name, role_of
 from .core import share_of_total, top_ranked, with_totals
 
@@ -28,12 +31,16 @@ DISCRETE_ROLES = {
 
 
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(coluna, valor, n) with missing values as null."""
+    """(coluna, valor, n) with missing values as null.
+
+    `df` is read once per column: a table, or a join that was written (`materialize`).
+    """
     names = list(columns or df.columns)
-    text = df.select(*[F.trim(F.col(f"`{c}`").cast("string")).alias(c) for c in names]).unpivot([], names, "coluna", "valor")
-    missing = F.lower("valor").isin("", "nan", "none", "null", "<na>")
-    kept = text.withColumn("valor", F.when(~missing, F.col("valor")))
-    return kept.groupBy("coluna", "valor").agg(F.count(F.lit(1)).alias("n"))
+    parts = [df.select(F.lit(c).alias("coluna"), F.col(f"`{c}`").cast("string").alias("valor")) for c in names]
+    counts = reduce(DataFrame.union, parts).groupBy("coluna", "valor").agg(F.count(F.lit(1)).alias("n"))
+    text = F.trim("valor")
+    missing = F.lower(text).isin("", "nan", "none", "null", "<na>")
+    return counts.groupBy("coluna", F.when(~missing, text).alias("valor")).agg(F.sum("n").alias("n"))
 
 
 def by_column(mapping: Mapping[str, object], default: object) -> Column:
@@ -87,7 +94,7 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     """Nulls, distinct values, number and year ratios, role, kind and use flags per column."""
     names = list(columns or df.columns)
     roles = {c: role_of(c) for c in names}
-    counts = value_counts(df, names)
+    counts = materialize(value_counts(df, names), "counts")  # read by every statistic
     present = F.col("valor").isNotNull()
     n_if = lambda test: F.sum(F.when(test, F.col("n")).otherwise(0))
     stats = counts.groupBy("coluna").agg(
@@ -210,7 +217,7 @@ def discrete_summary(df: DataFrame, top: int = 20, columns: Sequence[str] | None
     """Leading labelled values of every useful discrete column."""
     names = list(columns or df.columns)
     roles = {c: role_of(c) for c in names}
-    counts = value_counts(df, names)
+    counts = materialize(value_counts(df, names), "counts")
     labels = _useful_labels(counts, names, roles)
     useful = useful_discrete(counts, names, roles).filter("discreto_util").select("coluna", "qtd_categorias")
     rows = share_of_total(labels.join(useful, "coluna"), ["coluna"], "n", "share")
@@ -227,7 +234,8 @@ def field_catalogue(tables: Mapping[str, DataFrame]) -> DataFrame:
     parts = []
     for name, df in tables.items():
         canonical = by_column({c: canonical_field(c) for c in df.columns}, "")
-        parts.append(column_profile(df).withColumns({"arquivo_relativo": F.lit(name), "campo_canonico": canonical}))
+        written = materialize(df, "profiled")  # joins are done once, not per column
+        parts.append(column_profile(written).withColumns({"arquivo_relativo": F.lit(name), "campo_canonico": canonical}))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallygrid.functions.text import path_year, path_years
-from tallygrid.operators import clustering, kmeans_sweep, order_statistics
+from tallygrid.operators import clustering, kmeans_sweep, order_statistics, profiling
 from tallygrid.sources import files, tables
 from tallygrid.sources.json_ranges import split_records
 
@@ -217,3 +217,19 @@ def test_written_years_are_not_joined_by_one_task_each(spark, monkeypatch):
         assert all(r["count"] > 1 for r in seen[0].groupBy("ano_arquivo").count().collect())
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def untouched(out, folder):
+    """Whether a result no longer reads the source files: their steps were written once."""
+    return not any(str(folder) in f for f in out.inputFiles())
+
+
+def test_column_counts_are_written_once(spark, tmp_path):
+    rows = [(" a ", 1.0), ("a", -0.0), ("NaN", 2.5), (None, None), ("", 2.5)]
+    spark.createDataFrame(rows, "DS_CARGO string, QT_VOTOS double").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    counts = {(r.coluna, r.valor): r.n for r in profiling.value_counts(table).collect()}
+    assert counts == {("DS_CARGO", "a"): 2, ("DS_CARGO", None): 3, ("QT_VOTOS", "1.0"): 1, ("QT_VOTOS", "-0.0"): 1, ("QT_VOTOS", "2.5"): 2, ("QT_VOTOS", None): 1}
+    out = profiling.column_profile(table)
+    assert untouched(out, tmp_path)
+    assert {(r.coluna, r.linhas_amostra, r.nao_nulos, r.unicos) for r in out.collect()} == {("DS_CARGO", 5, 2, 1), ("QT_VOTOS", 5, 4, 3)}
