@@ -191,7 +191,7 @@ def c6(d):
     max(case when rank_entidade_setor = 1 then candidato end) as candidato_vencedor_setor, max(case when rank_entidade_setor = 1 then votos end) as votos_vencedor_setor,
     {r6('max(case when rank_entidade_setor = 1 then s end)')} as share_vencedor_setor from sector_results group by {_CK}) s left join sectors e using ({_SJ})""", drop=("perfil_predominante_setor",))
 def c7(d):
-    a = annotated(d)
+    a = materialize(annotated(d), "annotated")  # read by both layers, several times
     return co.sector_summary(co.results_sector_entity(a), co.electorate_sector(a))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallygrid.functions.text import path_year, path_years
 from tallygrid.operators import clustering, kmeans_sweep, order_statistics, profiling
-from tallygrid.sources import files, tables
+from tallygrid.sources import files, records, tables
 from tallygrid.sources.json_ranges import split_records
 
 
@@ -233,3 +233,10 @@ def test_column_counts_are_written_once(spark, tmp_path):
     out = profiling.column_profile(table)
     assert untouched(out, tmp_path)
     assert {(r.coluna, r.linhas_amostra, r.nao_nulos, r.unicos) for r in out.collect()} == {("DS_CARGO", 5, 2, 1), ("QT_VOTOS", 5, 4, 3)}
+
+
+def test_gold_rows_are_written_once(spark, tmp_path):
+    spark.createDataFrame([("1999", "A", 3.0), ("1999", "A", 1.0)], "ano string, uf string, votos double").write.parquet(str(tmp_path / "t"))
+    out = records.merge_gold_sources([spark.read.parquet(str(tmp_path / "t"))])
+    assert untouched(out, tmp_path)
+    assert [(r.votos, r.share_votos_grupo) for r in out.collect()] == [(4.0, 1.0)]
