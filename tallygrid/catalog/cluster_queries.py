@@ -225,7 +225,8 @@ def k18(d):
 
 
 def panel_clusters(d: Data):
-    panel = be.behaviour_panel(d.base)
+    rates = ("share_voto_no_perfil_secao", "taxa_abstencao_perfil_secao", "taxa_comparecimento_perfil_secao")
+    panel = materialize(be.behaviour_panel(d.base).drop(*rates), "panel")  # read for its units and its votes
     unit = ["ano", "cargo", "turno", "uf", "cd_municipio", "nm_municipio", "zona", "secao"]
     return panel, panel.select(*unit).distinct().withColumn("cluster", stable_bucket(F.concat_ws("|", "cd_municipio", "zona", "secao"), 4)), unit
 

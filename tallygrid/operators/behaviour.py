@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import ratio
 from ..functions.text import entity_label, safe_text
 from ..model import ELECTORAL, Spec
+from ..session import materialize
 from .core import share_of_total, share_within, sums, top1
 
 MAX_ENTITIES = 250
@@ -71,6 +72,8 @@ def behaviour_matrix(panel: DataFrame, spec: Spec = ELECTORAL, max_entities: int
     vote is in the row.  Headings are passed to the pivot, which then needs no extra pass.
     """
     unit = _unit(panel, spec)
+    # Read for the headings and for the rows.
+    panel = materialize(panel.select(*unit, "entidade_voto", "votos", "eleitorado", "comparecimento_estimado", "abstencao_estimado"), "panel")
     kept = leading_entities(panel, max_entities)
     named = F.when(F.col("entidade_voto").isin(kept), F.col("entidade_voto")).otherwise(OTHERS)
     work = panel.withColumn("entidade_voto", named).groupBy(*unit, "entidade_voto").agg(
