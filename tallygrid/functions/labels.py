@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .numbers import parse_number
-from .text import _col, clean_value, safe_text
+from .text import _col, clean_value, once, safe_text
 from .words import (
     ACCENTED,
     CATEGORY_LABELS,
@@ -30,9 +30,11 @@ def _lookup(key: Column, table: dict[str, str]) -> Column:
 
 def humanize(c: Column | str) -> Column:
     """Underscores to spaces; shouting longer than three characters to title case."""
-    text = F.trim(F.replace(safe_text(c, "Sem valor"), F.lit("_"), F.lit(" ")))
-    shouting = (text == F.upper(text)) & (F.upper(text) != F.lower(text)) & (F.length(text) > 3)
-    return F.when(shouting, title_case(text)).otherwise(text)
+    def named(text: Column) -> Column:
+        shouting = (text == F.upper(text)) & (F.upper(text) != F.lower(text)) & (F.length(text) > 3)
+        return F.when(shouting, title_case(text)).otherwise(text)
+
+    return once(F.trim(F.replace(safe_text(c, "Sem valor"), F.lit("_"), F.lit(" "))), named)
 
 
 def title_case(text: Column) -> Column:
@@ -43,12 +45,19 @@ def title_case(text: Column) -> Column:
 
 def label_category(value: Column | str, role: str) -> Column:
     """The published label of a code, 'Ano N', 'Codigo N' or readable text."""
-    text = safe_text(value, "SEM_VALOR")
+    return once(safe_text(value, "SEM_VALOR"), lambda text: _label(text, role))
+
+
+def _label(text: Column, role: str) -> Column:
     choices = [F.when(F.lower(text).isin(CATEGORY_NULL_WORDS), F.lit("Sem valor"))]
     if CATEGORY_LABELS.get(role):
         plain = F.regexp_replace(strip_accents(text), r"^([-+]*\d+)\.0$", "$1")
-        worded = F.regexp_replace(F.trim(F.regexp_replace(F.upper(plain), r"[\s_]", " ")), " ", "_")
-        choices.append(_lookup(F.when(F.length(plain) <= 1, plain).otherwise(worded), CATEGORY_LABELS[role]))
+
+        def key(code: Column) -> Column:
+            worded = F.regexp_replace(F.trim(F.regexp_replace(F.upper(code), r"[\s_]", " ")), " ", "_")
+            return F.when(F.length(code) <= 1, code).otherwise(worded)
+
+        choices.append(_lookup(once(plain, key), CATEGORY_LABELS[role]))
     prefix = "Ano " if role == "ano" else ("Codigo " if role.startswith("perfil_") else None)
     if prefix:
         number = F.regexp_replace(text, r"\.0$", "")
@@ -80,16 +89,12 @@ def age_bands() -> list[tuple[int, int, str]]:
 
 def age_band(value: Column | str) -> Column:
     """Age in years to band text; ages outside 16-120 fall back to the code table."""
-    number = parse_number(value)
-    age = number.cast("int")
-    banded = F.lit("")
-    for low, high, text in reversed(age_bands()):
-        banded = F.when(age.between(low, high), F.lit(text)).otherwise(banded)
-    return (
-        F.when(number.isNull(), F.lit(""))
-        .when((age < 16) | (age > 120), label_category(value, "perfil_faixa_etaria"))
-        .otherwise(banded)
-    )
+    def banded(age: Column) -> Column:
+        bands = [F.when(age.between(low, high), F.lit(text)) for low, high, text in age_bands()]
+        outside = F.when((age < 16) | (age > 120), label_category(value, "perfil_faixa_etaria"))
+        return F.when(age.isNull(), F.lit("")).otherwise(F.coalesce(outside, *bands, F.lit("")))
+
+    return once(parse_number(value).cast("int"), banded)
 
 
 def coalesce_profile_aliases(columns: list[str], role: str) -> Column:

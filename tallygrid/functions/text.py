@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,6 +30,15 @@ def _trimmed(c: Column | str) -> Column:
     return F.trim(F.coalesce(_col(c).cast("string"), F.lit("")))
 
 
+def once(c: Column, use: Callable[[Column], Column]) -> Column:
+    """What `use` makes of a value that is computed once, however often it is mentioned.
+
+    Repeated mentions under a condition are work of their own, and side by side in a stage's one method they
+    make it too long for the JVM to compile.  A function over an array is kept out of that method.
+    """
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
 def safe_text(c: Column | str, fallback: str = "") -> Column:
     """Trimmed text; spellings of a missing value become the fallback."""
     if isinstance(c, str):
@@ -37,6 +48,11 @@ def safe_text(c: Column | str, fallback: str = "") -> Column:
     return F.when(F.lower(text).isin(MISSING_SPELLINGS), F.lit(fallback)).otherwise(text)
 
 
+def filled(c: Column | str) -> Column:
+    """`safe_text`, null instead of ''."""
+    return once(_trimmed(c), lambda text: F.when(~F.lower(text).isin(MISSING_SPELLINGS), text))
+
+
 def clean_value(c: Column | str) -> Column:
     """Trimmed text; null words and '... sem valor' become ''."""
     text = _trimmed(c)
@@ -104,8 +120,7 @@ def discrete(c: Column | str) -> Column:
 
 def clean_state(c: Column | str) -> Column:
     """Two letters, else SEM_UF."""
-    text = F.upper(clean_value(c))
-    return F.when(text.rlike(r"^\p{L}{2}$"), text).otherwise(F.lit("SEM_UF"))
+    return once(F.upper(clean_value(c)), lambda text: F.when(text.rlike(r"^\p{L}{2}$"), text).otherwise(F.lit("SEM_UF")))
 
 
 def years_in(c: Column | str) -> Column:

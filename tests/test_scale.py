@@ -4,8 +4,11 @@ import re
 
 from pyspark.sql import functions as F
 
+from tallygrid.catalog import source_queries
 from tallygrid.catalog.base import Data
+from tallygrid.functions.labels import age_band
 from tallygrid.operators import behaviour, clustering, sections
+from tallygrid.sources import silver
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -35,6 +38,28 @@ def test_profile_cells_are_compilable(spark, capsys):
     assert sizes and max(sizes) <= 8000
 
 
+def test_silver_rows_are_compilable(spark, capsys):
+    d = Data(spark, SMALL)
+    votes, people, candidates = (make(d) for make in (source_queries.raw_votes, source_queries.raw_people, source_queries.raw_candidates))
+    results = silver.silver_results(votes)
+    tables = [results, results.select("ano", "uf", "turno", "partido", "nr_votavel", "votos"), silver.silver_electorate(people), silver.silver_candidates(candidates), silver.records_to_gold_base(votes)]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for table in tables:
+            table.explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) <= 8000
+
+
+def test_an_age_is_read_once_and_keeps_its_band(spark):
+    ages = ["16", "20,9", "21.0", " 24 ", "79", "80", "120", "121", "15", "2124", "abc", "", None]
+    rows = spark.createDataFrame([(i, a) for i, a in enumerate(ages)], "i int, a string").select("i", age_band("a").alias("b"))
+    assert [r.b for r in rows.orderBy("i").collect()] == [
+        "16 a 17 anos", "18 a 20 anos", "21 a 24 anos", "21 a 24 anos", "75 a 79 anos", "80 anos ou mais", "80 anos ou mais", "Codigo 121", "Codigo 15", "21 a 24 anos", "", "", ""]
+
+
 def test_a_panel_is_read_twice_at_most(spark):
     rows = Data(spark, SMALL).base
     panel = behaviour.behaviour_panel(rows)
