@@ -40,6 +40,18 @@ def share_within(df: DataFrame, scope: Sequence[str], weight: str, out: str, tot
     return df.withColumn(out, ratio(weight, whole))
 
 
+def totals_with_names(df: DataFrame, keys: Sequence[str], names: Sequence[str], sums: dict[str, Column], maxima: dict[str, Column]) -> DataFrame:
+    """Sums and maxima per key, beside the greatest value of every name column.
+
+    The greatest text is found by sorting.  What is sorted here are the rows that a first aggregate, with the
+    names among its keys, leaves by hashing; never the input.
+    """
+    first = df.groupBy(*keys, *names).agg(*[F.sum(c).alias(n) for n, c in sums.items()], *[F.max(c).alias(n) for n, c in maxima.items()])
+    if not names:
+        return first
+    return first.groupBy(*keys).agg(*[F.max(n).alias(n) for n in names], *[F.sum(n).alias(n) for n in sums], *[F.max(n).alias(n) for n in maxima])
+
+
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join on keys of which equal nulls match; the keys of the left side stay."""
     renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})

@@ -12,7 +12,7 @@ from ..functions import narrative
 from ..functions.numbers import number, ratio
 from ..functions.text import any_profile_valid, discrete, meaningful, profile_combo, safe_text, valid
 from ..model import BALLOTS, ELECTORAL, TURNOUT, Spec
-from .core import join_null_safe, order_by_weight, share_within, sums, top1
+from .core import join_null_safe, order_by_weight, share_within, sums, top1, totals_with_names
 
 PLACE_DETAILS = ("local_votacao", "bairro")
 
@@ -64,19 +64,15 @@ def section_electorate(electorate: DataFrame, spec: Spec = ELECTORAL, rule: str
     the sum is taken per profile dimension over its valid values.
     """
     keys = list(on or spec.section_keys)
-
-    def total(name: str) -> Column:
-        value = number(electorate, name)
-        if rule == "sum":
-            return F.sum(value)
-        if rule == "max":
-            return F.max(value)
-        per_dim = [F.sum(F.when(valid(dim), value)) for dim in spec.dims]
-        return F.greatest(F.max(value), *per_dim)
-
-    names = _any(electorate, [spec.place_name, *PLACE_DETAILS])
-    names = [n for n, c in zip(names, _present(electorate, [spec.place_name, *PLACE_DETAILS])) if c not in keys]
-    return electorate.groupBy(*keys).agg(*names, *[total(m).alias(m) for m in TURNOUT])
+    names = [n for n in _present(electorate, [spec.place_name, *PLACE_DETAILS]) if n not in keys]
+    value = {m: number(electorate, m) for m in TURNOUT}
+    largest = {} if rule == "sum" else value
+    added = value if rule == "sum" else {}
+    by_dim = {f"__{d}_{m}": F.when(valid(d), v) for m, v in value.items() for d in spec.dims} if rule not in ("sum", "max") else {}
+    found = totals_with_names(electorate, keys, names, added | by_dim, largest)
+    if by_dim:
+        found = found.withColumns({m: F.greatest(m, *[f"__{d}_{m}" for d in spec.dims]) for m in value})
+    return found.select(*keys, *names, *TURNOUT)
 
 
 def profile_cells(electorate: DataFrame, keys: Sequence[str], spec: Spec = ELECTORAL, weight: str = "eleitorado", out: str = "eleitorado_perfil", extra: Sequence[str] = ()) -> DataFrame:
@@ -235,11 +231,8 @@ def section_base(results: DataFrame, electorate: DataFrame, spec: Spec = ELECTOR
     side is already reduced to at most one row per section.
     """
     keys = list(on or spec.section_keys)
-    votes = (
-        results.filter(number(results, "votos") > 0)
-        .groupBy(*spec.contest_keys, spec.party, spec.candidate)
-        .agg(F.max(spec.place_name).alias(spec.place_name), *[F.sum(number(results, m)).alias(m) for m in BALLOTS])
-    )
+    ballots = {m: number(results, m) for m in BALLOTS}
+    votes = totals_with_names(results.filter(ballots["votos"] > 0), [*spec.contest_keys, spec.party, spec.candidate], [spec.place_name], ballots, {})
     heads = section_electorate(electorate, spec, rule, keys).withColumnRenamed(spec.place_name, "__name")
     profile = predominant_profile(electorate, keys, spec).select(*keys, *spec.dims)
     joined = join_null_safe(join_null_safe(votes, heads, keys, "left"), profile, keys, "left")

@@ -67,3 +67,38 @@ def test_a_panel_is_read_twice_at_most(spark):
     unit = ["ano", "cargo", "turno", "uf", "cd_municipio", "nm_municipio", "zona", "secao"]
     units = panel.select(*unit).distinct().withColumn("cluster", F.lit(0))
     assert untouched(clustering.cluster_interpretation(units, panel, unit))
+
+
+def test_input_rows_are_grouped_by_hashing(spark, capsys):
+    d = Data(spark, SMALL)
+    for grouped in (sections.section_electorate(d.electorate), sections.section_base(d.results, d.electorate)):
+        grouped.explain()
+        plan = capsys.readouterr().out.splitlines()
+        below = [i for i, line in enumerate(plan) if "FileScan" in line]
+        assert below and not any("SortAggregate" in line for line in first_aggregates(plan))
+
+
+def first_aggregates(plan):
+    """The aggregates nearest to each scan of a printed plan: those without another one beneath."""
+    at = [(len(line) - len(line.lstrip(" :+-")), line) for line in plan]
+    for i, (depth, line) in enumerate(at):
+        if "Aggregate" in line:
+            beneath = []
+            for deeper, other in at[i + 1:]:
+                if deeper <= depth:
+                    break
+                beneath.append(other)
+            if not any("Aggregate" in other for other in beneath):
+                yield line
+
+
+def test_names_that_differ_in_a_section_split_no_total(spark):
+    rows = [("1", "B", "x", 5, 4, 1), ("1", "A", "", 7, 5, 2), ("1", None, "x", 2, 1, 1), ("2", None, "", 3, 3, 0)]
+    people = spark.createDataFrame(rows, "secao string, nm_municipio string, perfil_genero string, eleitorado long, comparecimento_estimado long, abstencao_estimado long")
+    people = people.selectExpr("'1998' as ano", "'AC' as uf", "'7' as cd_municipio", "'1' as zona", "*", *[f"'' as {d}" for d in ("perfil_faixa_etaria", "perfil_instrucao", "perfil_estado_civil", "perfil_raca_cor")])
+    wanted = {"max": [(7, 5, 2), (3, 3, 0)], "sum": [(14, 10, 4), (3, 3, 0)], "max_or_dim_total": [(7, 5, 2), (3, 3, 0)]}
+    for rule, totals in wanted.items():
+        out = sections.section_electorate(people, rule=rule).orderBy("secao").collect()
+        assert [(r.nm_municipio, r.eleitorado, r.comparecimento_estimado, r.abstencao_estimado) for r in out] == [("B", *totals[0]), (None, *totals[1])]
+    both = people.withColumn("eleitorado", F.col("eleitorado") + 3)  # 'x' adds up to 8 + 5, more than the largest cell
+    assert [r.eleitorado for r in sections.section_electorate(both).orderBy("secao").collect()] == [13, 6]
