@@ -5,6 +5,7 @@ import random
 import frames
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from tallygrid.llm import decontaminate, graph, ngram_join
@@ -60,6 +61,57 @@ def test_join_matches_brute_force(spark, width, percent, hot, page):
     assert [(r["n_shingles"], r["component_id"]) for r in got] == plain_components(texts, width, percent)
 
 
+def test_a_common_digest_ties_no_families(spark):
+    """Families of copies that hold one very common digest, such as that of an empty group, keep cells of their own."""
+    scheme, families, copies = 8, 5, 20
+    needed = ngram_join.schemes(85)[scheme][3]
+    rows = []
+    for k in range(families * copies):
+        own = [((k // copies * 100 + i + 1) << 8) | scheme for i in range(needed)]
+        rows.append((k, k, 30, k, k, [*own, (10**6 << 8) | scheme]))
+    sketched = spark.createDataFrame(rows, "doc_id long, tkey long, n long, k1 long, k2 long, sigs array<long>")
+    found = {r["k1"]: r["cell"] for r in ngram_join.cells(sketched, 85, 16).collect()}
+    assert [found[k] for k in range(families * copies)] == [k // copies * copies for k in range(families * copies)]
+
+
+def test_equal_sets_make_no_digest_hot(spark):
+    """Digests are counted by sets: four rows of each of two texts are two sets."""
+    base = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join([*base, f"x{i % 2}"])) for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    sketched = ngram_join.sketch(docs, 4, 85)
+    batch = sketched.selectExpr("k1", "explode(sigs) as sig").toArrow().combine_chunks().to_batches()
+    held = [n for b in ngram_join._shared(iter(batch)) for n in b.column("held").to_pylist()]
+    assert held and set(held) == {2}
+
+
+@pytest.mark.parametrize("width", [1, 2, 4, 5])
+def test_shingles_of_many_texts_at_once(width):
+    rng = random.Random(width)
+    texts = [None, "", " \n", "a", "A\x0bb", "É é", "x" * 64, "X" * 64 + " " + "x" * 65, "y" * 65, "Y" * 65, *frames.ODD]
+    texts += ["".join(rng.choice("abAB \n\t\x00É") for _ in range(rng.randrange(60))) for _ in range(400)]
+    texts += ["z" * 1_100_000 + " a b c d e", "a b c " * 250_000, "k " * 5 + "q" * 2_500_000, "last one"]
+    for laid in (ngram_join._laid_out(texts), ngram_join._in_place(pa.array(["before", *texts], pa.string())[1:])):
+        got = []
+        for hashes, borders in ngram_join.shingle_sets(*laid, width):
+            got += np.split(hashes, borders[1:-1])
+        wanted = plain_sets(texts, width)
+        assert [len(g) for g in got] == [len(w) for w in wanted] and all((g[1:] > g[:-1]).all() for g in got)
+        names = {}
+        for g, w in zip(got, wanted):
+            one = names.setdefault(tuple(g.tolist()), w)
+            assert one == w
+        assert len(names) == len({frozenset(w) for w in wanted})
+        assert len(np.unique(np.concatenate(got))) == len(set().union(*wanted))
+
+
+def test_signatures_of_many_sets_are_those_of_each():
+    sets = [np.sort(np.random.default_rng(n).integers(0, 2**64, n, np.uint64)) for n in (0, 1, 5, 13, 14, 60, 0, 900)]
+    borders = np.cumsum([0, *map(len, sets)])
+    found, at = ngram_join.signatures_of(np.concatenate(sets), borders, 85)
+    assert [found[a:b].tolist() for a, b in zip(at, at[1:])] == [ngram_join.signatures(s, 85).tolist() for s in sets]
+
+
 def test_one_doc_id_on_two_texts(spark):
     one, two = (" ".join(f"{w}{i}" for i in range(60)) for w in "ab")
     rows = [(5, one), (1, one + " end"), (5, two), (2, two + " end"), (2, two + " end")]
