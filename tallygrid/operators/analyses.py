@@ -12,6 +12,7 @@ from ..functions import bands, narrative
 from ..functions.numbers import number, ratio
 from ..functions.text import has_text, meaningful, profile_combo, safe_text, valid
 from ..model import ELECTORAL, TURNOUT, Spec
+from ..session import materialize
 from .blocks import sum_of_products
 from .core import by_level, previous, share_of_total, share_within, sums, top1, top_ranked, unpivot
 
@@ -93,7 +94,15 @@ def profile_vote_association(
 
 
 def result_electorate_correlation(results: DataFrame, electorate: DataFrame, spec: Spec = ELECTORAL, **options) -> DataFrame:
-    """The association for parties and for candidates, one under the other."""
+    """The association for parties and for candidates, one under the other.
+
+    Votes per section contest, party and candidate and heads per section and profile cell are written once, for both.
+    """
+    keys = list(options.get("on") or spec.section_keys)
+    votes, heads = number(results, "votos"), number(electorate, "eleitorado")
+    cast_votes = results.filter(votes > 0).groupBy(*keys, *spec.contest, spec.party, spec.candidate).agg(F.sum(votes).alias("votos"))
+    cells = electorate.filter(heads > 0).groupBy(*keys, *spec.dims).agg(F.sum(heads).alias("eleitorado"))
+    results, electorate = materialize(cast_votes, "association-votes", free=True), materialize(cells, "association-heads", free=True)
     parts = [
         profile_vote_association(results, electorate, kind, spec=spec, **options).withColumn("tipo_entidade", F.lit(kind))
         for kind in (spec.party, spec.candidate)

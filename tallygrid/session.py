@@ -11,6 +11,8 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(app: str = "tallygrid", cores: int | str = "*", **conf: str) -> SparkSession:
     """A session for tests and benches; on a cluster the submitter builds its own."""
@@ -55,14 +57,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     """Cut lineage through a Parquet table in the shared folder.
 
     The files outlive executors, so a lost executor costs re-reading one task's input.
+    With `free`, what was shuffled to make the table is deleted as soon as it is written, and not when
+    the driver happens to collect its garbage.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    before = spark.conf.get(_CLEANUP, None)
+    if free:
+        spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        if free:
+            spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    return spark.read.parquet(path)
 
 
 def clear_scratch(spark: SparkSession, *tables: DataFrame) -> None:

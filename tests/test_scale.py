@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallygrid.catalog import source_queries
 from tallygrid.catalog.base import Data
 from tallygrid.functions.labels import age_band
-from tallygrid.operators import behaviour, clustering, sections
+from tallygrid.operators import analyses, behaviour, clustering, sections
 from tallygrid.sources import silver
 
 SMALL = "/root/testdata/sf0.001"
@@ -102,3 +102,28 @@ def test_names_that_differ_in_a_section_split_no_total(spark):
         assert [(r.nm_municipio, r.eleitorado, r.comparecimento_estimado, r.abstencao_estimado) for r in out] == [("B", *totals[0]), (None, *totals[1])]
     both = people.withColumn("eleitorado", F.col("eleitorado") + 3)  # 'x' adds up to 8 + 5, more than the largest cell
     assert [r.eleitorado for r in sections.section_electorate(both).orderBy("secao").collect()] == [13, 6]
+
+
+def contest_rows(spark, tmp_path):
+    """Votes and people of two sections, written; with a null office, a blank party and a row without votes."""
+    votes = [("1", "A", "1", "P", "x", 6), ("1", "A", "1", "P", "x", 1), ("1", "A", "1", "Q", "y", 3), ("1", "A", "1", " ", "z", 5), ("2", "A", "1", "Q", "y", 4), ("2", None, "1", "Q", "y", 2), ("2", "A", "2", "P", "x", 0)]
+    people = [("1", "F", 4), ("1", "M", 6), ("1", "M", 2), ("2", "F", 5), ("2", "", 3), ("2", "F", 0)]
+    place = ["'1998' as ano", "'AC' as uf", "'7' as cd_municipio", "'N' as nm_municipio", "'1' as zona"]
+    rest = [f"'' as {d}" for d in ("perfil_faixa_etaria", "perfil_instrucao", "perfil_estado_civil", "perfil_raca_cor")]
+    made = {
+        "votes": spark.createDataFrame(votes, "secao string, cargo string, turno string, partido string, candidato string, votos long").selectExpr(*place, "*", "0 as brancos", "1 as nulos", "votos as validos_estimados"),
+        "people": spark.createDataFrame(people, "secao string, perfil_genero string, eleitorado long").selectExpr(*place, "*", *rest, "eleitorado as comparecimento_estimado", "0 as abstencao_estimado"),
+    }
+    for name, rows in made.items():
+        rows.write.parquet(f"{tmp_path}/{name}")
+    return [spark.read.parquet(f"{tmp_path}/{name}") for name in made]
+
+
+def test_correlation_reads_its_inputs_once(spark, tmp_path):
+    votes, people = contest_rows(spark, tmp_path)
+    out = analyses.result_electorate_correlation(votes, people)
+    assert not [f for f in out.inputFiles() if str(tmp_path) in f]  # what both kinds read is grouped and written
+    for kind in ("partido", "candidato"):
+        alone = analyses.profile_vote_association(votes, people, kind)
+        same = out.filter(F.col("tipo_entidade") == kind).select(alone.columns)
+        assert alone.count() and sorted(map(str, same.collect())) == sorted(map(str, alone.collect()))
