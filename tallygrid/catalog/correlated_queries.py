@@ -40,6 +40,15 @@ def metadata(d: Data):
     return paths.withColumns({"dominio_documento": kind, "assunto_documento": subject, "tipo_arquivo_json": F.lit("dados")})
 
 
+def _written(d: Data) -> Data:
+    """The same inputs, of which joined rows, and the base made of them, are written once for their several readers."""
+    out = Data(d.spark, d.folder)
+    out.results = materialize(d.results.drop("nr_votavel"), "results", free=True)  # which neither gold rows nor the base have
+    out.electorate = materialize(d.electorate, "electorate", free=True)
+    out.base = materialize(out.base, "base", free=True)
+    return out
+
+
 def annotated(d: Data):
     return co.annotate_gold(gold(d), metadata(d))
 
@@ -265,6 +274,7 @@ def c12(d):
   union all (select 'correlacao_temporal', metrica || ' ' || ano_1 || '→' || ano_2, null, """ + r6("pearson") + """ from c_temporal order by round(abs(pearson), 6) desc nulls last, n desc, metrica, ano_1, ano_2 limit 20)
   union all (select 'correlacao_entidades', ano_1 || '→' || ano_2, null, """ + r6("pearson_share") + """ from c_entities order by round(abs(pearson_share), 6) desc nulls last, n_entidades desc, ano_1, ano_2 limit 15)""")
 def c14(d):
+    d = _written(d)
     out = co.evidence_table(
         co.file_inventory(gold(d)), co.temporal_correlation(levels.consolidate_municipal(d.base)),
         co.entity_share_correlation(levels.timelines_full(d.base)["timeline_entidades"]),

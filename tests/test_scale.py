@@ -1,14 +1,16 @@
 """Shared steps are written once, and the code of a row stays compilable."""
 
 import re
+import time
 
 from pyspark.sql import functions as F
 
-from tallygrid.catalog import source_queries
+from tallygrid import session
+from tallygrid.catalog import correlated_queries, source_queries
 from tallygrid.catalog.base import Data
 from tallygrid.functions.labels import age_band
-from tallygrid.operators import analyses, behaviour, clustering, sections
-from tallygrid.sources import silver
+from tallygrid.operators import analyses, behaviour, clustering, order_statistics, sections
+from tallygrid.sources import records, silver
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -127,3 +129,37 @@ def test_correlation_reads_its_inputs_once(spark, tmp_path):
         alone = analyses.profile_vote_association(votes, people, kind)
         same = out.filter(F.col("tipo_entidade") == kind).select(alone.columns)
         assert alone.count() and sorted(map(str, same.collect())) == sorted(map(str, alone.collect()))
+
+
+def test_evidence_joins_its_rows_once(spark):
+    joined, modules = [], (correlated_queries, records, order_statistics)
+    write = session.materialize
+
+    def counted(df, name, **more):
+        joined.extend(name for f in df.inputFiles() if f.startswith("file:") and SMALL in f and "lineitem" in f)
+        return write(df, name, **more)
+
+    try:
+        for m in modules:
+            m.materialize = counted
+        out = correlated_queries.c14(Data(spark, SMALL))
+    finally:
+        for m in modules:
+            m.materialize = write
+    assert joined == ["results"] and untouched(out)
+    assert {r.tipo for r in out.collect()} == {"cobertura_temporal", "correlacao_temporal", "correlacao_entidades"}
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    def shuffled():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {str(b) for b in (blocks.apply(i) for i in range(blocks.size())) if "shuffle" in str(b)}
+
+    before = shuffled()
+    table = session.materialize(spark.range(1000).selectExpr("id % 7 as k").groupBy("k").count(), "freed", free=True)
+    for _ in range(50):
+        if not (left := shuffled() - before):
+            break
+        time.sleep(0.1)
+    assert not left and table.count() == 7
+    assert spark.conf.get(session._CLEANUP, None) is None
